@@ -54,6 +54,14 @@ def build_session(
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder, registered with the SparkContext if needed."""
+    base = _checkpoint_base(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def _checkpoint_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
