@@ -84,14 +84,18 @@ def alert_messages(readings: DataFrame) -> DataFrame:
     )
 
 
-def keyed_messages(rows: DataFrame, fields: list[str] | None = None, key: str = "meter_id") -> DataFrame:
+def keyed_messages(
+    rows: DataFrame, fields: list[str] | None = None, key: str = "meter_id", keep: list[str] | None = None
+) -> DataFrame:
     """(key, value) messages: the key column and a JSON object of ``fields``.
 
     NULL fields are written as JSON ``null`` like a Python producer does.
+    ``keep`` passes further columns through (e.g. a log time).
     """
     rows = with_reading_text(rows) if fields is None else rows
     fields = fields or [f.name for f in READING_SCHEMA.fields]
     return rows.select(
         F.col(key).alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
+        *(keep or []),
     )
