@@ -47,8 +47,9 @@ def _with_partition(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, F.to_date("consumption_hour"))
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+def read_fact(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path).select(*FACT_COLUMNS)
 
 
 @dataclass
@@ -67,6 +68,17 @@ def high_water_mark(target: DataFrame, column: str = "consumption_hour") -> str
     return target.select(F.max(column).cast("string")).first()[0]
 
 
+def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The target read with the expected schema, or None if the path is
+    absent. An explicit schema keeps an existing but empty table (a
+    partitioned write of no rows leaves no data file) distinct from a
+    missing one."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS)
+    except AnalysisException:
+        return None
+
+
 def incremental_fact(
     spark: SparkSession, staged: DataFrame, target_path: str, full_refresh: bool = False
 ) -> RunResult:
@@ -85,11 +97,11 @@ def incremental_fact(
     hour predicate), which reaches the scan as a pushed filter, so an
     incremental run reads only new data.
     """
-    if full_refresh or not table_exists(spark, target_path):
-        fact = marts.fact_consumption(marts.hourly_consumption(staged))
-        _with_partition(fact).write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(target_path)
+    full = _with_partition(marts.fact_consumption(marts.hourly_consumption(staged)))
+    target = None if full_refresh else _existing(spark, target_path, full.schema)
+    if target is None:
+        _write_fact(full, target_path, "overwrite")
         return RunResult("full", None)
-    target = read_fact(spark, target_path)
     mark = high_water_mark(target)
     if mark is None:
         return RunResult("skipped", None)
@@ -97,10 +109,17 @@ def incremental_fact(
     cut = F.date_trunc("hour", mark_hour).cast(staged.schema["event_timestamp"].dataType)
     new_rows = staged.where(F.col("event_timestamp") >= cut + F.expr("INTERVAL 1 HOUR"))
     fact = marts.fact_consumption(marts.hourly_consumption(new_rows)).where(F.col("consumption_hour") > mark_hour)
-    _with_partition(fact).write.mode("append").partitionBy(FACT_PARTITION).parquet(target_path)
+    _write_fact(_with_partition(fact), target_path, "append")
     return RunResult("incremental", mark)
 
 
+def _write_fact(fact: DataFrame, path: str, mode: str) -> None:
+    """Write by date partition. The rebalance hint lets AQE size the write
+    tasks (splitting a hot day, merging small ones) so each date gets few,
+    full files instead of one file per task and date."""
+    fact.hint("rebalance", FACT_PARTITION).write.mode(mode).partitionBy(FACT_PARTITION).parquet(path)
+
+
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "consumption_id") -> DataFrame:
     """Upsert semantics: rows of ``target`` whose key is not updated, plus all
     updates."""
