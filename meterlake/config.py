@@ -8,7 +8,6 @@ in local mode do we create a private folder and register it, as tests do.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,6 +89,4 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     path = "/".join([base, "meterlake", *parts])
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
