@@ -3,8 +3,8 @@
 A check passes when it finds no failures. ``failing_rows`` returns what a
 check reports (the rows or values at fault); ``evaluate`` returns one row
 per check, ``(model, column_name, check_type, failures)``, computed with few
-passes: every not_null check of a table is folded into one aggregate, and
-each unique / accepted_values check is one aggregation whose partial
+passes: every not_null and accepted_values check of a table is folded into
+one aggregate, and each unique check is one aggregation whose partial
 aggregate runs before its shuffle.
 
 ``failures`` counts what the check's failing-rows query returns: NULL rows
@@ -98,29 +98,55 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _row(check: Check, failures) -> list:
-    return [F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-            F.lit(check.name).alias("check_type"), failures.cast("long").alias("failures")]
+def _rows(checks: list[Check], counts: DataFrame) -> DataFrame:
+    """Unpivot one-row counts (column ``c<i>`` per check) to one row per check."""
+    return counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c.model).alias("model"),
+                        F.lit(c.column).alias("column_name"),
+                        F.lit(c.name).alias("check_type"),
+                        F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"),
+                    )
+                    for i, c in enumerate(checks)
+                ]
+            )
+        )
+    )
+
+
+def _single_pass_count(c: Check):
+    col = F.col(c.column)
+    if c.kind == "not_null":
+        return F.sum(F.when(col.isNull(), 1).otherwise(0))
+    # distinct unaccepted values; accepted and NULL values map to NULL and
+    # are not counted
+    return F.count_distinct(F.when(col.isNotNull() & ~col.isin(*c.values), col))
 
 
 def evaluate(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One row per check with its failure count."""
+    """One row per check with its failure count.
+
+    Per table, every not_null and accepted_values check is folded into one
+    aggregate over one scan (the distinct counts of unaccepted values see
+    only NULL for valid rows, so their partial aggregates stay tiny). Each
+    unique check is one group-by on its column, partially aggregated
+    before the shuffle.
+    """
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
         df = tables[model]
         group = [c for c in checks if c.model == model]
-        not_null = [c for c in group if c.kind == "not_null"]
-        if not_null:
-            counts = df.agg(
-                *[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"c{i}") for i, c in enumerate(not_null)]
-            )
-            for i, c in enumerate(not_null):
-                parts.append(counts.select(*_row(c, F.coalesce(F.col(f"c{i}"), F.lit(0)))))
+        one_pass = [c for c in group if c.kind in ("not_null", "accepted_values")]
+        if one_pass:
+            counts = df.agg(*[_single_pass_count(c).alias(f"c{i}") for i, c in enumerate(one_pass)])
+            parts.append(_rows(one_pass, counts))
         for c in group:
-            if c.kind == "not_null":
-                continue
-            n = failing_rows(df, c).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(*_row(c, F.col("n"))))
+            if c.kind == "unique":
+                n = failing_rows(df, c).agg(F.count(F.lit(1)).alias("c0"))
+                parts.append(_rows([c], n))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
