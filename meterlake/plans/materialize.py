@@ -80,7 +80,11 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def incremental_fact(
-    spark: SparkSession, staged: DataFrame, target_path: str, full_refresh: bool = False
+    spark: SparkSession,
+    staged: DataFrame,
+    target_path: str,
+    full_refresh: bool = False,
+    hourly: DataFrame | None = None,
 ) -> RunResult:
     """Build or extend the hourly fact at ``target_path``.
 
@@ -95,9 +99,11 @@ def incremental_fact(
     The cut is also applied to the readings as
     ``event_timestamp >= date_trunc('hour', max) + 1 hour`` (implied by the
     hour predicate), which reaches the scan as a pushed filter, so an
-    incremental run reads only new data.
+    incremental run reads only new data. A caller that already holds the
+    hourly aggregate of all readings passes it as ``hourly``; new hours are
+    then selected from it instead.
     """
-    full = _with_partition(marts.fact_consumption(marts.hourly_consumption(staged)))
+    full = _with_partition(marts.fact_consumption(hourly if hourly is not None else marts.hourly_consumption(staged)))
     target = None if full_refresh else _existing(spark, target_path, full.schema)
     if target is None:
         _write_fact(full, target_path, "overwrite")
@@ -106,9 +112,11 @@ def incremental_fact(
     if mark is None:
         return RunResult("skipped", None)
     mark_hour = _typed_literal(mark, target, "consumption_hour")
-    cut = F.date_trunc("hour", mark_hour).cast(staged.schema["event_timestamp"].dataType)
-    new_rows = staged.where(F.col("event_timestamp") >= cut + F.expr("INTERVAL 1 HOUR"))
-    fact = marts.fact_consumption(marts.hourly_consumption(new_rows)).where(F.col("consumption_hour") > mark_hour)
+    if hourly is None:
+        cut = F.date_trunc("hour", mark_hour).cast(staged.schema["event_timestamp"].dataType)
+        new_rows = staged.where(F.col("event_timestamp") >= cut + F.expr("INTERVAL 1 HOUR"))
+        hourly = marts.hourly_consumption(new_rows)
+    fact = marts.fact_consumption(hourly).where(F.col("consumption_hour") > mark_hour)
     _write_fact(_with_partition(fact), target_path, "append")
     return RunResult("incremental", mark)
 

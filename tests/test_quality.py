@@ -68,3 +68,20 @@ def test_run_then_test_builds_and_gates(spark, tmp_dir):
     result = job.run_then_test(spark, clean, f"{tmp_dir}/b")
     assert result.fact_run.mode == "full" and result.checks.count() == 20
     assert spark.table("stg_meter_readings").count() == 936
+
+
+def test_one_scan_marts_equal_direct_marts(spark):
+    from meterlake.operators import marts
+    from meterlake.plans.models import Models
+    from meterlake.sources.fixtures import meter_readings
+
+    m = Models(meter_readings(spark, "/root/testdata/sf0.01"))
+    mh = marts.meter_hours(m.staging)
+    pairs = [
+        (marts.dim_meters(m.staging), marts.dim_meters_from_meter_hours(mh)),
+        (marts.dim_grid_zones(m.staging), marts.dim_grid_zones_from_meter_hours(mh)),
+        (marts.dim_dates(m.staging), marts.dim_dates_from_meter_hours(mh)),
+        (m.hourly.drop("total_kwh", "avg_kwh"), marts.hourly_from_meter_hours(mh).drop("total_kwh", "avg_kwh")),
+    ]
+    for direct, derived in pairs:
+        assert direct.exceptAll(derived).count() == 0 and derived.exceptAll(direct).count() == 0
