@@ -84,6 +84,12 @@ def alert_messages(readings: DataFrame) -> DataFrame:
     )
 
 
+def alert_log_messages(readings_df: DataFrame) -> DataFrame:
+    """Alerts as (key, value) messages for the alerts topic."""
+    alerts = alert_messages(readings_df)
+    return keyed_messages(alerts, fields=alerts.columns)
+
+
 def keyed_messages(
     rows: DataFrame, fields: list[str] | None = None, key: str = "meter_id", keep: list[str] | None = None
 ) -> DataFrame:

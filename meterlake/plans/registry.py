@@ -314,8 +314,13 @@ def load_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(result.table)
 
 
+def alert_keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readings.alert_log_messages(meter_readings(spark, sf_dir))
+
+
 QUERIES.update(
     {
+        "alert_keyed_messages": alert_keyed_messages,
         "bronze_from_json": bronze_from_json,
         "silver_columns": silver_columns,
         "layer_counts": layer_counts,

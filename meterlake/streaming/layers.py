@@ -98,11 +98,16 @@ def start_medallion(
     silver_clock: Clock = None,
     window: str = GOLD_WINDOW,
     watermark: str = GOLD_WATERMARK,
+    min_batches_to_retain: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start (and for ``availableNow``, run to completion) the three layers.
 
     Bronze and silver are partitioned by zone on disk; gold is not.
+    ``min_batches_to_retain`` sets how many batches of checkpoint metadata
+    the queries keep (a session setting read when a query starts).
     """
+    if min_batches_to_retain is not None:
+        spark.conf.set("spark.sql.streaming.minBatchesToRetain", str(min_batches_to_retain))
     sequential = trigger in ("availableNow", "once")
     started: dict[str, StreamingQuery] = {}
 

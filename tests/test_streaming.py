@@ -154,3 +154,39 @@ def test_schema_evolution_merge_on_read(spark, tmp_dir):
     )
     df = read_layer(spark, path, merge_schema=True)
     assert "firmware" in df.columns and df.count() == 2
+
+
+def test_live_layers_run_concurrently_then_stop(spark, tmp_dir):
+    """Processing-time triggers: all three layers run at once (F7); a
+    bounded wait then stops every active query (F8)."""
+    log = f"{tmp_dir}/log"
+    _write_batches(spark, log, [sum(SEQ_A, [])])
+    for mode in ("fanout", "chained"):
+        paths = layers.LayerPaths(f"{tmp_dir}/{mode}")
+        started = layers.start_medallion(
+            spark, read_envelope_files(spark, log), paths, mode=mode, trigger="1 second"
+        )
+        assert all(q.isActive for q in started.values())
+        for name in ("bronze", "silver", "gold"):
+            started[name].processAllAvailable()
+        layers.run_bounded(spark, 0.5)
+        assert not spark.streams.active
+        assert spark.read.parquet(paths.table("silver")).count() == 8
+
+
+def test_load_rerun_appends_again(spark, tmp_dir):
+    from meterlake.sinks import warehouse
+
+    silver_path = f"{tmp_dir}/silver"
+    env = spark.createDataFrame(
+        [(None, _payload("2026-05-20T09:00:00Z", 1.0).encode(), "t", 0, 0, dt.datetime(2026, 5, 20, 9), 0)],
+        ENVELOPE_SCHEMA,
+    )
+    readings.silver(readings.parse_envelope(env)).write.partitionBy("grid_zone").parquet(silver_path)
+    table = "load_rerun_" + os.path.basename(tmp_dir).replace("-", "_")
+    first = warehouse.load_silver(spark, silver_path, table, f"{tmp_dir}/wh")
+    second = warehouse.load_silver(spark, silver_path, table, f"{tmp_dir}/wh")
+    assert first.rows_loaded == 1 and second.rows_loaded == 1
+    t = spark.table(table)
+    assert t.count() == 2 and "METER_ID" in t.columns and len(t.columns) == 13
+    assert dict(t.dtypes)["EVENT_TIMESTAMP"] == "timestamp_ntz"
