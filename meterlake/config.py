@@ -53,6 +53,16 @@ def build_session(
     return spark
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """Meter times are UTC instants; zone-less values are UTC wall clock.
+
+    The casts between TIMESTAMP and TIMESTAMP_NTZ keep values only under a
+    UTC session, so sessions built elsewhere are switched to UTC.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder, registered with the SparkContext if needed."""
     base = _checkpoint_base(spark)

@@ -275,6 +275,12 @@ def _write_log(spark: SparkSession, raw: DataFrame) -> str:
     return path
 
 
+# Gold state holds about zones x types x open windows keys at any input
+# volume (the aggregate is partial before the shuffle), so a few state
+# partitions suffice.
+GOLD_STATE_PARTITIONS = 8
+
+
 def _run_medallion(spark: SparkSession, sf_dir: str, variant: str) -> layers.LayerPaths:
     log = _write_log(spark, meter_readings(spark, sf_dir, variant))
     paths = layers.LayerPaths(shared_dir(spark, "medallion"))
@@ -284,6 +290,7 @@ def _run_medallion(spark: SparkSession, sf_dir: str, variant: str) -> layers.Lay
         paths,
         bronze_clock=_bronze_clock,
         silver_clock=_silver_clock,
+        gold_state_partitions=GOLD_STATE_PARTITIONS,
     )
     return paths
 

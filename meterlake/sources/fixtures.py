@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterlake.config import ensure_utc
+
 # "dense" squeezes the 30 days of test data into 12 hours so that 5-minute
 # windows hold several readings.
 _DENSE_TS = (
@@ -22,6 +24,7 @@ _DENSE_TS = (
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 

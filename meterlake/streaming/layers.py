@@ -99,12 +99,20 @@ def start_medallion(
     window: str = GOLD_WINDOW,
     watermark: str = GOLD_WATERMARK,
     min_batches_to_retain: int | None = None,
+    gold_state_partitions: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start (and for ``availableNow``, run to completion) the three layers.
 
     Bronze and silver are partitioned by zone on disk; gold is not.
     ``min_batches_to_retain`` sets how many batches of checkpoint metadata
     the queries keep (a session setting read when a query starts).
+
+    ``gold_state_partitions`` fixes the width of gold's state store (it is
+    recorded in the checkpoint at the first start and cannot change later).
+    Gold keeps about zones x types x open windows keys whatever the input
+    volume, since partial aggregation runs before the shuffle, so a narrow
+    state store avoids committing hundreds of empty state partitions per
+    micro-batch.
     """
     if min_batches_to_retain is not None:
         spark.conf.set("spark.sql.streaming.minBatchesToRetain", str(min_batches_to_retain))
@@ -117,12 +125,23 @@ def start_medallion(
         if sequential:
             q.awaitTermination()
 
+    def start_gold(df: DataFrame) -> None:
+        if gold_state_partitions is None:
+            start("gold", df, None)
+            return
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(gold_state_partitions))
+        try:
+            start("gold", df, None)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
+
     bronze = readings.parse_envelope(envelope, bronze_clock)
     if mode == "fanout":
         silver = readings.silver(bronze, silver_clock)
         start("bronze", bronze, ["grid_zone"])
         start("silver", silver, ["grid_zone"])
-        start("gold", windows.gold(silver, window, watermark), None)
+        start_gold(windows.gold(silver, window, watermark))
         return started
     if mode != "chained":
         raise ValueError(f"unknown mode {mode!r}")
@@ -130,7 +149,7 @@ def start_medallion(
     bronze_in = read_layer_stream(spark, paths.table("bronze"), BRONZE_SCHEMA, fmt)
     start("silver", readings.silver(bronze_in, silver_clock), ["grid_zone"])
     silver_in = read_layer_stream(spark, paths.table("silver"), SILVER_SCHEMA, fmt)
-    start("gold", windows.gold(silver_in, window, watermark), None)
+    start_gold(windows.gold(silver_in, window, watermark))
     return started
 
 
