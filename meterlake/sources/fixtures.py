@@ -9,8 +9,7 @@ No row is dropped or sampled here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.config import ensure_utc
 
@@ -23,57 +22,55 @@ _DENSE_TS = (
 )
 
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generated ``events`` table, with its known schema (no footer
+    inference on the driver)."""
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _event_time(variant: str) -> Column:
+def _event_time(variant: str) -> str:
     if variant == "native":
-        return F.col("ts")
+        return "ts"
     if variant == "dense":
-        return F.expr(_DENSE_TS)
+        return _DENSE_TS
     raise ValueError(f"unknown variant {variant!r}")
 
 
+def _adapter_columns(ts: str) -> list[str]:
+    # The fixture mapping, written once as SQL expressions (the same text the
+    # oracle uses); Spark parses it on the JVM side in one call.
+    return [
+        """case when event_id % 103 = 0 then null
+                else concat('METER-', lpad(cast(user_id as string), 4, '0')) end as meter_id""",
+        f"{ts} as event_timestamp",
+        """case when event_id % 97 = 0 then null
+                when event_id % 89 = 0 then -1.5e0
+                when event_id % 50 = 0 then value * 3
+                else value end as kwh_reading""",
+        """case when event_id % 101 = 0 then null
+                when event_id % 83 = 0 then 190.0e0
+                when event_id % 84 = 0 then 200.0e0
+                when event_id % 86 = 0 then 260.0e0
+                else 218 + cast(event_id % 241 as double) / 10 end as voltage""",
+        """case when event_id % 79 = 0 then 51.5e0
+                when event_id % 78 = 0 then 49.0e0
+                else 49.8e0 + cast(event_id % 41 as double) / 100 end as frequency""",
+        """case user_id % 5 when 0 then 'NRW-North' when 1 then 'NRW-South' when 2 then 'Bavaria'
+                            when 3 then 'Saxony' else 'Hamburg' end as grid_zone""",
+        """case user_id % 3 when 0 then 'residential' when 1 then 'commercial'
+                            else 'industrial' end as meter_type""",
+        "case when event_id % 71 = 0 then null else event_id % 50 = 0 end as is_anomaly",
+        f"{ts} + interval 2 seconds as ingest_timestamp",
+        f"{ts} + interval 4 seconds as processed_timestamp",
+    ]
+
+
 def readings_from_events(events: DataFrame, variant: str = "native") -> DataFrame:
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    ts = _event_time(variant)
-    zone = (
-        F.when(uid % 5 == 0, "NRW-North")
-        .when(uid % 5 == 1, "NRW-South")
-        .when(uid % 5 == 2, "Bavaria")
-        .when(uid % 5 == 3, "Saxony")
-        .otherwise("Hamburg")
-    )
-    mtype = F.when(uid % 3 == 0, "residential").when(uid % 3 == 1, "commercial").otherwise("industrial")
-    return events.select(
-        F.when(eid % 103 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("METER-"), F.lpad(uid.cast("string"), 4, "0")))
-        .alias("meter_id"),
-        ts.alias("event_timestamp"),
-        F.when(eid % 97 == 0, F.lit(None).cast("double"))
-        .when(eid % 89 == 0, F.lit(-1.5))
-        .when(eid % 50 == 0, F.col("value") * 3)
-        .otherwise(F.col("value"))
-        .alias("kwh_reading"),
-        F.when(eid % 101 == 0, F.lit(None).cast("double"))
-        .when(eid % 83 == 0, F.lit(190.0))
-        .when(eid % 84 == 0, F.lit(200.0))
-        .when(eid % 86 == 0, F.lit(260.0))
-        .otherwise(F.lit(218) + (eid % 241).cast("double") / 10)
-        .alias("voltage"),
-        F.when(eid % 79 == 0, F.lit(51.5))
-        .when(eid % 78 == 0, F.lit(49.0))
-        .otherwise(F.lit(49.8) + (eid % 41).cast("double") / 100)
-        .alias("frequency"),
-        zone.alias("grid_zone"),
-        mtype.alias("meter_type"),
-        F.when(eid % 71 == 0, F.lit(None).cast("boolean")).otherwise(eid % 50 == 0).alias("is_anomaly"),
-        (ts + F.expr("INTERVAL 2 SECONDS")).alias("ingest_timestamp"),
-        (ts + F.expr("INTERVAL 4 SECONDS")).alias("processed_timestamp"),
-    )
+    return events.selectExpr(*_adapter_columns(_event_time(variant)))
 
 
 def meter_readings(spark: SparkSession, sf_dir: str, variant: str = "native") -> DataFrame:
