@@ -2,9 +2,10 @@
 
 Views stay lazy plans; tables are rebuilt; the fact is maintained
 incrementally. The readings are scanned once: they are aggregated to the
-meter x hour grain, that intermediate is checkpointed into the shared
-checkpoint folder (cutting lineage, so a lost executor never forces a
-rescan), and the fact and all dimensions are derived from it. The four
+meter x hour grain, that intermediate is written as a table next to the
+marts (computed once; it cuts lineage, so a lost executor never forces a
+rescan of the readings), and the fact and all dimensions are derived from
+it. The four
 mart writes are independent Spark jobs and are submitted concurrently.
 """
 
@@ -15,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.config import ensure_checkpoint_dir
 from meterlake.operators import marts, quality, readings
 from meterlake.plans.materialize import RunResult, as_table, as_view, incremental_fact, read_fact
 
@@ -29,11 +29,10 @@ class JobResult:
 
 def build_models(spark: SparkSession, source: DataFrame, out_dir: str, full_refresh: bool = False) -> tuple[RunResult, dict[str, DataFrame]]:
     out_dir = out_dir.rstrip("/")
-    ensure_checkpoint_dir(spark)
     staged = as_view(readings.staging(source), "stg_meter_readings")
     as_view(readings.anomaly_alerts(staged), "stg_anomaly_alerts")
     as_view(marts.hourly_consumption(staged), "int_consumption_windowed")
-    mh = marts.meter_hours(staged).checkpoint()
+    mh = as_table(marts.meter_hours(staged), f"{out_dir}/int_meter_hours")
     builds = {
         "fct_energy_consumption": lambda: incremental_fact(
             spark, staged, f"{out_dir}/fct_energy_consumption", full_refresh, hourly=marts.hourly_from_meter_hours(mh)

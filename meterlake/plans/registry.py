@@ -270,8 +270,14 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_log(spark: SparkSession, raw: DataFrame) -> str:
+    """Write the log as several files, like the partitions of a topic.
+
+    Rows are spread round-robin, not by key: a meter holding a third of the
+    readings must not make one log partition (and its bronze task) hot.
+    """
     path = shared_dir(spark, "log")
-    envelope_log(raw).write.mode("overwrite").parquet(path)
+    parts = spark.sparkContext.defaultParallelism
+    envelope_log(raw).repartition(parts).write.mode("overwrite").parquet(path)
     return path
 
 
