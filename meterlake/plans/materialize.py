@@ -64,7 +64,18 @@ def _typed_literal(text: str, like: DataFrame, column: str) -> Column:
 
 
 def high_water_mark(target: DataFrame, column: str = "consumption_hour") -> str | None:
-    """Max of ``column`` as text (a single scalar reaches the driver)."""
+    """Max of ``column`` as text (a single scalar reaches the driver).
+
+    When the target carries the date partition column, the newest date is
+    found from partition values first (no column data is read) and the max
+    hour is then taken inside that one partition, so the cost does not grow
+    with the table's history.
+    """
+    if FACT_PARTITION in target.columns:
+        last_day = target.select(F.max(FACT_PARTITION).cast("string")).first()[0]
+        if last_day is None:
+            return None
+        target = target.where(F.col(FACT_PARTITION) == F.lit(last_day).cast("date"))
     return target.select(F.max(column).cast("string")).first()[0]
 
 
@@ -74,7 +85,7 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
     partitioned write of no rows leaves no data file) distinct from a
     missing one."""
     try:
-        return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS)
+        return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS, FACT_PARTITION)
     except AnalysisException:
         return None
 

@@ -182,7 +182,7 @@ def fact_upsert_general(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = shared_dir(spark, "fact_upsert")
     cut = F.lit(INCREMENTAL_CUT).cast(staged.schema["event_timestamp"].dataType)
     materialize.incremental_fact(spark, staged.where(F.col("event_timestamp") < cut), target)
-    existing = materialize.read_fact(spark, target)
+    existing = spark.read.parquet(target)
     mark = materialize._typed_literal(materialize.high_water_mark(existing), existing, "consumption_hour")
     updates = marts.fact_consumption(marts.hourly_consumption(staged)).where(F.col("consumption_hour") >= mark)
     materialize.upsert_fact(spark, target, updates)

@@ -56,3 +56,25 @@ def test_native_time_filter_reaches_the_scan(spark, capsys):
 def test_aggregates_are_partial_before_the_shuffle(spark, capsys):
     plan = _plan(registry.models(spark, SF_SMALL).hourly, capsys)
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_high_water_mark_reads_no_column_data_for_the_newest_day(spark, tmp_dir, capsys):
+    from meterlake.plans import materialize
+
+    target = f"{tmp_dir}/fact"
+    materialize.incremental_fact(spark, registry.models(spark, SF_SMALL).staging, target)
+    t = spark.read.parquet(target)
+    plan = _plan(t.select(F.max(materialize.FACT_PARTITION)), capsys)
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_upsert_prunes_untouched_partitions_at_run_time(spark, tmp_dir, capsys):
+    from meterlake.plans import materialize
+
+    target = f"{tmp_dir}/fact"
+    materialize.incremental_fact(spark, registry.models(spark, SF_SMALL).staging, target)
+    touched = spark.createDataFrame([("2024-01-30",)], "d string").selectExpr(
+        f"cast(d as date) as {materialize.FACT_PARTITION}"
+    )
+    plan = _plan(spark.read.parquet(target).join(touched, materialize.FACT_PARTITION, "left_semi"), capsys)
+    assert "dynamicpruningexpression" in plan or "PartitionFilters: [isnotnull(consumption_date" in plan
