@@ -43,7 +43,7 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
-def _with_partition(fact: DataFrame) -> DataFrame:
+def with_partition(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, F.to_date("consumption_hour"))
 
 
@@ -58,7 +58,7 @@ class RunResult:
     high_water_mark: str | None
 
 
-def _typed_literal(text: str, like: DataFrame, column: str) -> Column:
+def typed_literal(text: str, like: DataFrame, column: str) -> Column:
     # Through text so the value round-trips exactly in the session time zone.
     return F.lit(text).cast(like.schema[column].dataType)
 
@@ -114,7 +114,7 @@ def incremental_fact(
     hourly aggregate of all readings passes it as ``hourly``; new hours are
     then selected from it instead.
     """
-    full = _with_partition(marts.fact_consumption(hourly if hourly is not None else marts.hourly_consumption(staged)))
+    full = with_partition(marts.fact_consumption(hourly if hourly is not None else marts.hourly_consumption(staged)))
     target = None if full_refresh else _existing(spark, target_path, full.schema)
     if target is None:
         _write_fact(full, target_path, "overwrite")
@@ -122,13 +122,13 @@ def incremental_fact(
     mark = high_water_mark(target)
     if mark is None:
         return RunResult("skipped", None)
-    mark_hour = _typed_literal(mark, target, "consumption_hour")
+    mark_hour = typed_literal(mark, target, "consumption_hour")
     if hourly is None:
         cut = F.date_trunc("hour", mark_hour).cast(staged.schema["event_timestamp"].dataType)
         new_rows = staged.where(F.col("event_timestamp") >= cut + F.expr("INTERVAL 1 HOUR"))
         hourly = marts.hourly_consumption(new_rows)
     fact = marts.fact_consumption(hourly).where(F.col("consumption_hour") > mark_hour)
-    _write_fact(_with_partition(fact), target_path, "append")
+    _write_fact(with_partition(fact), target_path, "append")
     return RunResult("incremental", mark)
 
 
@@ -154,7 +154,7 @@ def upsert_fact(spark: SparkSession, target_path: str, updates: DataFrame, key:
     replaces) and written with dynamic partition overwrite.
     """
     ensure_checkpoint_dir(spark)
-    updates = _with_partition(updates.select(*FACT_COLUMNS))
+    updates = with_partition(updates.select(*FACT_COLUMNS))
     touched = updates.select(FACT_PARTITION).distinct()
     existing = spark.read.parquet(target_path).join(touched, FACT_PARTITION, "left_semi")
     merged = merge_by_key(existing.select(*updates.columns), updates, key).checkpoint()

@@ -14,10 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterlake.config import shared_dir
 from meterlake.functions.validation import rule_columns, valid_reading
-from meterlake.operators import readings, reports, windows
+from meterlake.operators import marts, quality, readings, reports, windows
+from meterlake.plans import job, materialize
 from meterlake.plans.models import Models
+from meterlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from meterlake.sinks import warehouse
 from meterlake.sources.fixtures import meter_readings
+from meterlake.sources.log import envelope_from_messages, read_envelope_files
+from meterlake.streaming import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,9 +162,6 @@ QUERIES: dict[str, Query] = {
 
 
 # --- incremental maintenance -------------------------------------------------
-from meterlake.config import shared_dir  # noqa: E402
-from meterlake.operators import marts, quality  # noqa: E402
-from meterlake.plans import job, materialize  # noqa: E402
 
 # A cut that splits an hour in half, so the incremental result differs from
 # a full rebuild.
@@ -183,7 +186,7 @@ def fact_upsert_general(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.lit(INCREMENTAL_CUT).cast(staged.schema["event_timestamp"].dataType)
     materialize.incremental_fact(spark, staged.where(F.col("event_timestamp") < cut), target)
     existing = spark.read.parquet(target)
-    mark = materialize._typed_literal(materialize.high_water_mark(existing), existing, "consumption_hour")
+    mark = materialize.typed_literal(materialize.high_water_mark(existing), existing, "consumption_hour")
     updates = marts.fact_consumption(marts.hourly_consumption(staged)).where(F.col("consumption_hour") >= mark)
     materialize.upsert_fact(spark, target, updates)
     return _round(materialize.read_fact(spark, target), _FACT_DOUBLES)
@@ -223,10 +226,6 @@ QUERIES.update(
 
 
 # --- log parsing, streaming layers, warehouse load --------------------------------
-from meterlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS  # noqa: E402
-from meterlake.sinks import warehouse  # noqa: E402
-from meterlake.sources.log import envelope_from_messages, read_envelope_files  # noqa: E402
-from meterlake.streaming import layers  # noqa: E402
 
 
 def _seconds(n: int) -> Column:

@@ -40,10 +40,10 @@ def test_first_run_builds_then_only_later_hours_append(spark, tmp_dir):
 def test_empty_existing_target_receives_nothing(spark, tmp_dir):
     target = f"{tmp_dir}/fact"
     empty = marts.fact_consumption(marts.hourly_consumption(_rows(spark, [(T(1), 1.0)]))).limit(0)
-    materialize._with_partition(empty).write.partitionBy(materialize.FACT_PARTITION).parquet(target)
+    materialize.with_partition(empty).write.partitionBy(materialize.FACT_PARTITION).parquet(target)
     r = materialize.incremental_fact(spark, _rows(spark, [(T(5), 1.0)]), target)
     assert r.mode == "skipped"
-    schema = materialize._with_partition(empty).schema
+    schema = materialize.with_partition(empty).schema
     assert materialize.read_fact(spark, target, schema).count() == 0
 
 
