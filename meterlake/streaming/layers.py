@@ -9,6 +9,12 @@ Two layouts:
 * ``fanout``: three independent queries over one source, each parsing the
   log itself and starting at its own offsets.
 
+Micro-batch boundaries differ between the layouts (in ``chained`` gold
+batches follow silver's commits), so with live triggers a row close to the
+lateness bound may be counted in one layout and dropped in the other, as it
+may between two runs of either; bounded runs over data already on the log
+give the same result in both.
+
 Gold keeps keyed window state bounded by the watermark and emits each
 window once, when the watermark passes its end (append mode). Triggers:
 ``"availableNow"`` for bounded runs (stages run one after another so each

@@ -190,3 +190,16 @@ def test_load_rerun_appends_again(spark, tmp_dir):
     t = spark.table(table)
     assert t.count() == 2 and "METER_ID" in t.columns and len(t.columns) == 13
     assert dict(t.dtypes)["EVENT_TIMESTAMP"] == "timestamp_ntz"
+
+
+def test_future_clock_closes_windows_for_all_meters(spark, tmp_dir):
+    """One global watermark: a reading from the future (no upper bound in
+    silver) closes every open window, so later on-time rows are dropped."""
+    log = f"{tmp_dir}/log"
+    batches = [[("09:01:00", 1.0)], [("23:59:00", 2.0)], [("09:02:00", 4.0)], [("09:03:00", 8.0)]]
+    _write_batches(spark, log, batches)
+    _gold_stream(spark, log, f"{tmp_dir}/gold", f"{tmp_dir}/ckpt")
+    # 09:02 arrives in the batch that closes 09:00 and is still counted (late
+    # rows are tested against the previous batch's watermark); 09:03, one
+    # batch later, is dropped. The 23:55 window stays open.
+    assert _sums(spark, f"{tmp_dir}/gold") == {"09:00": 5.0}
