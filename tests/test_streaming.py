@@ -203,3 +203,17 @@ def test_future_clock_closes_windows_for_all_meters(spark, tmp_dir):
     # rows are tested against the previous batch's watermark); 09:03, one
     # batch later, is dropped. The 23:55 window stays open.
     assert _sums(spark, f"{tmp_dir}/gold") == {"09:00": 5.0}
+
+
+def test_date_partitioned_layers_prune_by_date(spark, tmp_dir, capsys):
+    log = f"{tmp_dir}/log"
+    _write_batches(spark, log, [sum(SEQ_A, [])])
+    paths = layers.LayerPaths(f"{tmp_dir}/m")
+    layers.start_medallion(spark, read_envelope_files(spark, log), paths, date_partitions=True)
+    silver = spark.read.parquet(paths.table("silver"))
+    assert "event_date=2026-05-20" in os.listdir(paths.table("silver"))
+    day = silver.where(F.col("event_date") == F.lit("2026-05-20").cast("date"))
+    day.explain()
+    assert "PartitionFilters: [isnotnull(event_date" in capsys.readouterr().out
+    assert day.count() == 7  # the NULL-time row sits in the default partition
+    assert _sums(spark, paths.table("gold")) == {"09:00": 43.0, "09:05": 20.0}
