@@ -17,7 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import marts, quality, readings
-from meterlake.plans.materialize import RunResult, as_table, as_view, incremental_fact, read_fact
+from meterlake.plans.materialize import (
+    RunResult,
+    as_table,
+    as_view,
+    incremental_fact,
+    read_fact,
+    with_partition,
+)
 
 
 @dataclass
@@ -44,7 +51,8 @@ def build_models(spark: SparkSession, source: DataFrame, out_dir: str, full_refr
     with ThreadPoolExecutor(max_workers=len(builds)) as pool:
         done = {name: pool.submit(fn) for name, fn in builds.items()}
         results = {name: f.result() for name, f in done.items()}
-    tables = {"fct_energy_consumption": read_fact(spark, f"{out_dir}/fct_energy_consumption")}
+    fact_schema = with_partition(marts.fact_consumption(marts.hourly_from_meter_hours(mh))).schema
+    tables = {"fct_energy_consumption": read_fact(spark, f"{out_dir}/fct_energy_consumption", fact_schema)}
     tables.update({name: results[name] for name in ("dim_meters", "dim_grid_zones", "dim_dates")})
     return results["fct_energy_consumption"], tables
 

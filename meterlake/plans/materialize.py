@@ -35,14 +35,6 @@ def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fm
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018 - resolves the path
-        return True
-    except AnalysisException:
-        return False
-
-
 def with_partition(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, F.to_date("consumption_hour"))
 
@@ -67,9 +59,9 @@ def high_water_mark(target: DataFrame, column: str = "consumption_hour") -> str
     """Max of ``column`` as text (a single scalar reaches the driver).
 
     When the target carries the date partition column, the newest date is
-    found from partition values first (no column data is read) and the max
-    hour is then taken inside that one partition, so the cost does not grow
-    with the table's history.
+    found from partition values first (file footers only, no column data)
+    and the hour column is then read inside that one partition only, instead
+    of across the table's whole history.
     """
     if FACT_PARTITION in target.columns:
         last_day = target.select(F.max(FACT_PARTITION).cast("string")).first()[0]
