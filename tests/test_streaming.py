@@ -217,3 +217,14 @@ def test_date_partitioned_layers_prune_by_date(spark, tmp_dir, capsys):
     assert "PartitionFilters: [isnotnull(event_date" in capsys.readouterr().out
     assert day.count() == 7  # the NULL-time row sits in the default partition
     assert _sums(spark, paths.table("gold")) == {"09:00": 43.0, "09:05": 20.0}
+
+
+def test_rocksdb_state_store_gives_the_same_gold(spark, tmp_dir):
+    log = f"{tmp_dir}/log"
+    _write_batches(spark, log, [sum(SEQ_A, [])])
+    paths = layers.LayerPaths(f"{tmp_dir}/m")
+    layers.start_medallion(
+        spark, read_envelope_files(spark, log), paths, state_store="rocksdb", gold_state_partitions=2
+    )
+    assert _sums(spark, paths.table("gold")) == {"09:00": 43.0, "09:05": 20.0}
+    assert spark.conf.get(layers._PROVIDER, None) != layers._ROCKSDB
