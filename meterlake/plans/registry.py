@@ -205,6 +205,13 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_key_summary(models(spark, sf_dir).marts(), quality.MART_SUITE)
 
 
+def dq_zone_change_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys the fact's uniqueness check reports when meters change zone
+    inside an hour (the key covers meter and hour, the grain also zone)."""
+    fact = models(spark, sf_dir, "zone_flip").fact
+    return quality.failing_rows(fact, quality.Check("fct_energy_consumption", "consumption_id", "unique"))
+
+
 def build_then_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Materialise all models, then report all 20 checks (report mode: the
     fixture's source holds NULL ids on purpose, so the gate would stop)."""
@@ -220,6 +227,7 @@ QUERIES.update(
         "dq_source_suite": dq_source_suite,
         "dq_mart_suite": dq_mart_suite,
         "dq_duplicate_keys": dq_duplicate_keys,
+        "dq_zone_change_duplicates": dq_zone_change_duplicates,
         "build_then_test": build_then_test,
     }
 )

@@ -40,7 +40,16 @@ def _event_time(variant: str) -> str:
     raise ValueError(f"unknown variant {variant!r}")
 
 
-def _adapter_columns(ts: str) -> list[str]:
+# The zone of a meter: fixed per meter, or (variant "zone_flip") moved to the
+# next zone for readings in the second half of each hour, so that meters
+# change zone inside an hour.
+_ZONE_KEY = {
+    "fixed": "user_id",
+    "zone_flip": "(user_id + case when minute({ts}) >= 30 then 1 else 0 end)",
+}
+
+
+def _adapter_columns(ts: str, zone: str = "fixed") -> list[str]:
     # The fixture mapping, written once as SQL expressions (the same text the
     # oracle uses); Spark parses it on the JVM side in one call.
     return [
@@ -59,8 +68,8 @@ def _adapter_columns(ts: str) -> list[str]:
         """case when event_id % 79 = 0 then 51.5e0
                 when event_id % 78 = 0 then 49.0e0
                 else 49.8e0 + cast(event_id % 41 as double) / 100 end as frequency""",
-        """case user_id % 5 when 0 then 'NRW-North' when 1 then 'NRW-South' when 2 then 'Bavaria'
-                            when 3 then 'Saxony' else 'Hamburg' end as grid_zone""",
+        f"""case {_ZONE_KEY[zone].format(ts=ts)} % 5 when 0 then 'NRW-North' when 1 then 'NRW-South'
+                 when 2 then 'Bavaria' when 3 then 'Saxony' else 'Hamburg' end as grid_zone""",
         """case user_id % 3 when 0 then 'residential' when 1 then 'commercial'
                             else 'industrial' end as meter_type""",
         "case when event_id % 71 = 0 then null else event_id % 50 = 0 end as is_anomaly",
@@ -70,6 +79,10 @@ def _adapter_columns(ts: str) -> list[str]:
 
 
 def readings_from_events(events: DataFrame, variant: str = "native") -> DataFrame:
+    """Variants: "native" and "dense" (time scale), "zone_flip" (native time,
+    meters change zone at half past each hour)."""
+    if variant == "zone_flip":
+        return events.selectExpr(*_adapter_columns(_event_time("native"), "zone_flip"))
     return events.selectExpr(*_adapter_columns(_event_time(variant)))
 
 
