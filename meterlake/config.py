@@ -32,6 +32,30 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings for a large cluster (pass as ``build_session(conf=...)``).
+
+    AQE can merge shuffle partitions but never split them (except skewed
+    join sides), so the shuffle starts wide: a few partitions per core, at
+    least enough for 100 TB / 128 MB of pre-aggregated shuffle data in the
+    widest stage. With ``parallelismFirst`` off, AQE then coalesces to the
+    128 MB advisory size rather than to the core count, so small stages
+    (the gold state, dimensions, reports) end up with few partitions.
+    """
+    initial = max(4 * total_cores, 8192)
+    return {
+        "spark.sql.shuffle.partitions": str(2 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.files.openCostInBytes": "8m",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "meterlake",
