@@ -167,3 +167,19 @@ def test_alert_and_keyed_message_shapes(spark):
     msg = readings.keyed_messages(staged_like).collect()[0]
     assert msg.key == "M1"
     assert json.loads(msg.value)["timestamp"] == "2024-01-01T05:00:00Z"
+
+
+def test_null_event_time_gives_one_null_date_row_that_fails_its_check(spark):
+    from meterlake.operators import quality
+
+    staged = readings.staging(readings.silver(_bronze(spark, [_msg(timestamp="garbage"), _msg()])))
+    dates = marts.dim_dates(staged)
+    assert dates.count() == 2 and dates.where("date_hour is null").count() == 1
+    res = quality.evaluate({"dim_dates": dates}, [quality.Check("dim_dates", "date_hour", "not_null")]).first()
+    assert res.failures == 1
+
+
+def test_null_zone_forms_its_own_group(spark):
+    staged = readings.staging(readings.silver(_bronze(spark, [_msg(grid_zone=None), _msg(grid_zone=None, meter_id="M2"), _msg()])))
+    zones = {r.grid_zone: r.meter_count for r in marts.dim_grid_zones(staged).collect()}
+    assert zones == {None: 2, "Bavaria": 1}
