@@ -16,12 +16,22 @@ def con():
     return duck(SF_SMALL)
 
 
+# Spark type name -> DuckDB type name
+_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = contract.queries()[name](spark, SF_SMALL)
     assert name in SQL, "every query has an oracle"
     res = compare(df, con, SQL[name])
     assert res["ok"], res
+    rel = con.sql(SQL[name])
+    oracle_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: _TYPES.get(t, t) for c, t in df.dtypes} == oracle_types
 
 
 def test_entry_smoke(spark):
