@@ -27,7 +27,6 @@ DEFAULT_CONF = {
     # Runtime broadcast only for build sides AQE has measured below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -30,7 +30,7 @@ def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fm
     """``table`` materialisation: full rebuild by overwrite, then read back."""
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.save(path)
     return df.sparkSession.read.format(fmt).load(path)
 
@@ -127,8 +127,12 @@ def incremental_fact(
 def _write_fact(fact: DataFrame, path: str, mode: str) -> None:
     """Write by date partition. The rebalance hint lets AQE size the write
     tasks (splitting a hot day, merging small ones) so each date gets few,
-    full files instead of one file per task and date."""
-    fact.hint("rebalance", FACT_PARTITION).write.mode(mode).partitionBy(FACT_PARTITION).parquet(path)
+    full files instead of one file per task and date. An overwrite is a
+    full rebuild: static mode, so dates absent from the new data go too."""
+    writer = fact.hint("rebalance", FACT_PARTITION).write.mode(mode).partitionBy(FACT_PARTITION)
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "static")
+    writer.parquet(path)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: str = "consumption_id") -> DataFrame:

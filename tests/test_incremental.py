@@ -89,3 +89,15 @@ def test_upsert_replaces_keys_in_touched_partitions_only(spark, tmp_dir):
         for r in materialize.read_fact(spark, target).collect()
     }
     assert got == {(1, 1): 1.0, (1, 2): 20.0, (1, 5): 5.0, (2, 1): 9.0}
+
+
+def test_full_refresh_drops_dates_absent_from_the_new_data(spark, tmp_dir):
+    target = f"{tmp_dir}/fact"
+    materialize.incremental_fact(spark, _rows(spark, [(T(1), 1.0), (dt.datetime(2024, 1, 5, 1), 2.0)]), target)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        materialize.incremental_fact(spark, _rows(spark, [(T(1), 3.0)]), target, full_refresh=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    rows = materialize.read_fact(spark, target).collect()
+    assert [(r.consumption_hour, r.total_kwh) for r in rows] == [(T(1), 3.0)]
