@@ -18,18 +18,22 @@ def stable(x: Column | str, digits: int = 6) -> Column:
 def zone_hour_rank(fact: DataFrame, zones: DataFrame, state: str = "NRW") -> DataFrame:
     """Zones of one federal state ranked by consumption within each hour.
 
-    The zone dimension is filtered to the state first. It has one row per
-    zone and the state comes from a fixed zone mapping, so at most
-    ``len(zones_in_state(state))`` rows remain: a proven bound, so it is
-    broadcast and the fact is never shuffled for the join. The aggregate is
-    partial before its shuffle; the ranking window then sees at most that
-    many rows per hour.
+    The zone dimension maps states with the fixed zone mapping, so the join
+    can only keep fact rows of ``zones_in_state(state)``. That implied
+    predicate is stated on the fact too: Catalyst pushes it below the
+    partial aggregate, and into the scan (or partition pruning) where the
+    zone is a stored column. The dimension, filtered to the state, has at
+    most that many rows (one row per zone): a proven bound, so it is
+    broadcast and the fact is never shuffled for the join. The ranking
+    window then sees at most that many rows per hour.
     """
-    if not zones_in_state(state):
+    in_state_zones = zones_in_state(state)
+    if not in_state_zones:
         raise ValueError(f"no zone maps to state {state!r}")
     in_state = zones.where(F.col("federal_state") == state).select("grid_zone", "grid_zone_name")
     per_zone = (
-        fact.join(F.broadcast(in_state), "grid_zone")
+        fact.where(F.col("grid_zone").isin(in_state_zones))
+        .join(F.broadcast(in_state), "grid_zone")
         .groupBy("consumption_hour", "grid_zone", "grid_zone_name")
         .agg(F.sum("total_kwh").alias("total_kwh"), F.sum("reading_count").alias("reading_count"))
     )

@@ -78,3 +78,10 @@ def test_upsert_prunes_untouched_partitions_at_run_time(spark, tmp_dir, capsys):
     )
     plan = _plan(spark.read.parquet(target).join(touched, materialize.FACT_PARTITION, "left_semi"), capsys)
     assert "dynamicpruningexpression" in plan or "PartitionFilters: [isnotnull(consumption_date" in plan
+
+
+def test_state_filter_reaches_a_stored_fact_scan(spark, tmp_dir, capsys):
+    m = registry.models(spark, SF_SMALL)
+    m.fact.write.parquet(f"{tmp_dir}/fact")
+    plan = _plan(reports.zone_hour_rank(spark.read.parquet(f"{tmp_dir}/fact"), m.dim_grid_zones), capsys)
+    assert "PushedFilters: [In(grid_zone, [NRW-North,NRW-South])" in plan
