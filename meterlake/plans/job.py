@@ -54,6 +54,8 @@ def build_models(spark: SparkSession, source: DataFrame, out_dir: str, full_refr
     fact_schema = with_partition(marts.fact_consumption(marts.hourly_from_meter_hours(mh))).schema
     tables = {"fct_energy_consumption": read_fact(spark, f"{out_dir}/fct_energy_consumption", fact_schema)}
     tables.update({name: results[name] for name in ("dim_meters", "dim_grid_zones", "dim_dates")})
+    for name, df in tables.items():
+        as_view(df, name)  # SQL over the marts by model name
     return results["fct_energy_consumption"], tables
 
 
