@@ -228,3 +228,21 @@ def test_rocksdb_state_store_gives_the_same_gold(spark, tmp_dir):
     )
     assert _sums(spark, paths.table("gold")) == {"09:00": 43.0, "09:05": 20.0}
     assert spark.conf.get(layers._PROVIDER, None) != layers._ROCKSDB
+
+
+def test_layer_reads_go_through_the_sink_commit_log(spark, tmp_dir):
+    """A file in a layer folder that no committed batch wrote (a failed or
+    foreign write) is not read: batch reads use the sink's commit log."""
+    from meterlake.sources.tables import read_layer
+
+    log = f"{tmp_dir}/log"
+    _write_batches(spark, log, [sum(SEQ_A, [])])
+    paths = layers.LayerPaths(f"{tmp_dir}/m")
+    layers.start_medallion(spark, read_envelope_files(spark, log), paths)
+    gold_dir = paths.table("gold")
+    before = read_layer(spark, gold_dir).count()
+    stray = spark.read.parquet(gold_dir)
+    stray.write.parquet(f"{tmp_dir}/stray")
+    part = [f for f in os.listdir(f"{tmp_dir}/stray") if f.endswith(".parquet")][0]
+    os.link(f"{tmp_dir}/stray/{part}", f"{gold_dir}/uncommitted-{part}")
+    assert read_layer(spark, gold_dir).count() == before == 2
