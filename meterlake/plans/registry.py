@@ -21,8 +21,8 @@ from meterlake.plans import job, materialize
 from meterlake.plans.models import Models
 from meterlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
 from meterlake.sinks import warehouse
-from meterlake.sources.fixtures import meter_readings
-from meterlake.sources.log import envelope_from_messages, read_envelope_files
+from meterlake.sources.fixtures import meter_readings, stream_meter_readings
+from meterlake.sources.log import envelope_from_messages
 from meterlake.streaming import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,12 +297,16 @@ def _write_log(spark: SparkSession, raw: DataFrame) -> str:
 GOLD_STATE_PARTITIONS = 8
 
 
+def _log_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
+    """The readings as log records, streamed straight from the events table."""
+    return envelope_log(stream_meter_readings(spark, sf_dir, variant))
+
+
 def _run_medallion(spark: SparkSession, sf_dir: str, variant: str) -> layers.LayerPaths:
-    log = _write_log(spark, meter_readings(spark, sf_dir, variant))
     paths = layers.LayerPaths(shared_dir(spark, "medallion"))
     layers.start_medallion(
         spark,
-        read_envelope_files(spark, log),
+        _log_stream(spark, sf_dir, variant),
         paths,
         bronze_clock=_bronze_clock,
         silver_clock=_silver_clock,
@@ -319,9 +323,8 @@ def gold_5min_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_by_zone_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze written by the streaming query (zone-partitioned), read back."""
-    log = _write_log(spark, meter_readings(spark, sf_dir))
     paths = layers.LayerPaths(shared_dir(spark, "bronze_stream"))
-    bronze = readings.parse_envelope(read_envelope_files(spark, log), _bronze_clock)
+    bronze = readings.parse_envelope(_log_stream(spark, sf_dir, "native"), _bronze_clock)
     layers.write_stream(bronze, paths.table("bronze"), paths.checkpoint("bronze"), partition_by=["grid_zone"]).awaitTermination()
     return _ntz(spark.read.parquet(paths.table("bronze")).select(*BRONZE_COLUMNS))
 

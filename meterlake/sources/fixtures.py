@@ -89,3 +89,14 @@ def readings_from_events(events: DataFrame, variant: str = "native") -> DataFram
 def meter_readings(spark: SparkSession, sf_dir: str, variant: str = "native") -> DataFrame:
     """Raw meter readings (the warehouse source table) for a test scale."""
     return readings_from_events(load_events(spark, sf_dir), variant)
+
+
+def stream_meter_readings(
+    spark: SparkSession, sf_dir: str, variant: str = "native", max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same readings as a stream over the ``events`` table file."""
+    ensure_utc(spark)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return readings_from_events(reader.parquet(sf_dir.rstrip("/")), variant)
