@@ -58,6 +58,30 @@ def spiking_meters(alerts: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
+def spike_timeline(alerts: DataFrame, meters: DataFrame) -> DataFrame:
+    """Every spike with its meter's attributes, in time order.
+
+    A join of all alerts with the meter dimension: AQE broadcasts the
+    dimension if it measures it small, and otherwise splits a meter with a
+    very large share of the alerts (skew join). The final order is a range-
+    partitioned sort, whose sampled bounds also split a hot period.
+    """
+    m = meters.select("meter_id", "first_seen_at", "total_readings")
+    return (
+        alerts.join(m, "meter_id")
+        .select(
+            "event_timestamp",
+            "meter_id",
+            "grid_zone",
+            "meter_type",
+            F.col("kwh_reading").alias("spike_kwh"),
+            "first_seen_at",
+            "total_readings",
+        )
+        .orderBy("event_timestamp", "meter_id")
+    )
+
+
 def daily_peak_window(gold: DataFrame) -> DataFrame:
     """The window with the highest grid-wide consumption on each day.
 

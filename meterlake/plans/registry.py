@@ -115,6 +115,11 @@ def spiking_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(reports.spiking_meters(m.alerts, m.dim_meters), ["max_spike_kwh"])
 
 
+def spike_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = models(spark, sf_dir)
+    return reports.spike_timeline(m.alerts, m.dim_meters)
+
+
 def daily_peak_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = windows.gold(models(spark, sf_dir, "native").staging, watermark=None)
     return _round(reports.daily_peak_window(gold), ["total_kwh"])
@@ -153,6 +158,7 @@ QUERIES: dict[str, Query] = {
     "gold_preview": gold_preview,
     "nrw_zone_hour_rank": nrw_zone_hour_rank,
     "spiking_meters": spiking_meters,
+    "spike_timeline": spike_timeline,
     "daily_peak_window": daily_peak_window,
     "consumption_by_type": consumption_by_type,
     "zone_anomaly_rate": zone_anomaly_rate,
