@@ -3,9 +3,10 @@
 A check passes when it finds no failures. ``failing_rows`` returns what a
 check reports (the rows or values at fault); ``evaluate`` returns one row
 per check, ``(model, column_name, check_type, failures)``, computed with few
-passes: every not_null and accepted_values check of a table is folded into
-one aggregate, and each unique check is one aggregation whose partial
-aggregate runs before its shuffle.
+passes: every not_null check of a table is folded into one aggregate;
+each accepted_values check filters in the scan before it aggregates; each
+unique check is one aggregation whose partial aggregate runs before its
+shuffle.
 
 ``failures`` counts what the check's failing-rows query returns: NULL rows
 for not_null, duplicated values for unique, distinct unaccepted values for
@@ -117,34 +118,29 @@ def _rows(checks: list[Check], counts: DataFrame) -> DataFrame:
     )
 
 
-def _single_pass_count(c: Check):
-    col = F.col(c.column)
-    if c.kind == "not_null":
-        return F.sum(F.when(col.isNull(), 1).otherwise(0))
-    # distinct unaccepted values; accepted and NULL values map to NULL and
-    # are not counted
-    return F.count_distinct(F.when(col.isNotNull() & ~col.isin(*c.values), col))
-
-
 def evaluate(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check with its failure count.
 
-    Per table, every not_null and accepted_values check is folded into one
-    aggregate over one scan (the distinct counts of unaccepted values see
-    only NULL for valid rows, so their partial aggregates stay tiny). Each
-    unique check is one group-by on its column, partially aggregated
+    Per table, every not_null check is folded into one aggregate over one
+    scan. Each accepted_values check is its failing-rows query counted:
+    the ``NOT IN`` filter reaches the scan (and becomes partition pruning on
+    a zone-partitioned layer), so valid data is skipped before any
+    aggregation, and no per-row expansion for distinct counts is needed.
+    Each unique check is one group-by on its column, partially aggregated
     before the shuffle.
     """
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
         df = tables[model]
         group = [c for c in checks if c.model == model]
-        one_pass = [c for c in group if c.kind in ("not_null", "accepted_values")]
-        if one_pass:
-            counts = df.agg(*[_single_pass_count(c).alias(f"c{i}") for i, c in enumerate(one_pass)])
-            parts.append(_rows(one_pass, counts))
+        not_null = [c for c in group if c.kind == "not_null"]
+        if not_null:
+            counts = df.agg(
+                *[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"c{i}") for i, c in enumerate(not_null)]
+            )
+            parts.append(_rows(not_null, counts))
         for c in group:
-            if c.kind == "unique":
+            if c.kind != "not_null":
                 n = failing_rows(df, c).agg(F.count(F.lit(1)).alias("c0"))
                 parts.append(_rows([c], n))
     out = parts[0]

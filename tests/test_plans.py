@@ -85,3 +85,13 @@ def test_state_filter_reaches_a_stored_fact_scan(spark, tmp_dir, capsys):
     m.fact.write.parquet(f"{tmp_dir}/fact")
     plan = _plan(reports.zone_hour_rank(spark.read.parquet(f"{tmp_dir}/fact"), m.dim_grid_zones), capsys)
     assert "PushedFilters: [In(grid_zone, [NRW-North,NRW-South])" in plan
+
+
+def test_accepted_values_check_prunes_zone_partitions(spark, tmp_dir, capsys):
+    from meterlake.operators import quality
+
+    silver = readings.silver(registry._bronze(spark, SF_SMALL), registry._silver_clock)
+    silver.write.partitionBy("grid_zone").parquet(f"{tmp_dir}/silver")
+    check = quality.Check("meter_readings", "grid_zone", "accepted_values", quality.ZONES)
+    plan = _plan(quality.evaluate({"meter_readings": spark.read.parquet(f"{tmp_dir}/silver")}, [check]), capsys)
+    assert "PartitionFilters: [isnotnull(grid_zone" in plan and "NOT grid_zone" in plan
