@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.zones import zones_in_state
+from meterlake.operators.joins import skew_safe_join
 
 
 def stable(x: Column | str, digits: int = 6) -> Column:
@@ -58,17 +59,18 @@ def spiking_meters(alerts: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
-def spike_timeline(alerts: DataFrame, meters: DataFrame) -> DataFrame:
+def spike_timeline(alerts: DataFrame, meters: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Every spike with its meter's attributes, in time order.
 
-    A join of all alerts with the meter dimension: AQE broadcasts the
-    dimension if it measures it small, and otherwise splits a meter with a
-    very large share of the alerts (skew join). The final order is a range-
-    partitioned sort, whose sampled bounds also split a hot period.
+    All alert rows are joined to the meter dimension, so a meter with a
+    very large share of the alerts would put that share in one join task.
+    The join is therefore salted for meters above ``hot_rows`` alerts (see
+    ``skew_safe_join``). The final order is a range-partitioned sort, whose
+    sampled bounds also split a hot period.
     """
     m = meters.select("meter_id", "first_seen_at", "total_readings")
     return (
-        alerts.join(m, "meter_id")
+        skew_safe_join(alerts, m, "meter_id", hot_rows=hot_rows)
         .select(
             "event_timestamp",
             "meter_id",

@@ -59,3 +59,39 @@ def test_hot_meter_results_do_not_depend_on_skew_settings(spark):
     assert split == whole
     hot, total = split[2], split[3]
     assert hot * 4 > total  # the hot meter really holds about a third
+
+
+def test_salted_join_spreads_a_hot_key_and_equals_the_plain_join(spark):
+    from meterlake.operators.joins import skew_safe_join
+
+    raw = meter_readings(spark, SF_MID)
+    hot = raw.withColumn(
+        "meter_id",
+        F.when(F.pmod(F.col("kwh_reading").cast("long"), F.lit(3)) == 0, "METER-HOT").otherwise(F.col("meter_id")),
+    ).where(F.col("meter_id").isNotNull())
+    dims = marts.dim_meters(readings.staging(hot)).select("meter_id", "first_seen_at", "total_readings")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        salted = skew_safe_join(hot, dims, "meter_id", hot_rows=100, buckets=16)
+        parts = (
+            salted.where(F.col("meter_id") == "METER-HOT")
+            .select(F.spark_partition_id().alias("p")).distinct().count()
+        )
+        plain = hot.join(dims, "meter_id")
+        cols = sorted(plain.columns)
+        assert salted.select(cols).exceptAll(plain.select(cols)).count() == 0
+        assert plain.select(cols).exceptAll(salted.select(cols)).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert parts > 1  # the hot key no longer sits in a single join task
+    n_hot = hot.where(F.col("meter_id") == "METER-HOT").count()
+    assert n_hot * 4 > hot.count()
