@@ -151,8 +151,12 @@ def upsert_fact(spark: SparkSession, target_path: str, updates: DataFrame, key:
     """
     ensure_checkpoint_dir(spark)
     updates = with_partition(updates.select(*FACT_COLUMNS))
+    # One row per calendar date the updates touch (a century is 36,525 rows
+    # of 4 bytes): a proven bound, so it is broadcast and a hot day of the
+    # target is never shuffled into one task; it also drives partition
+    # pruning of the target scan.
     touched = updates.select(FACT_PARTITION).distinct()
-    existing = spark.read.parquet(target_path).join(touched, FACT_PARTITION, "left_semi")
+    existing = spark.read.parquet(target_path).join(F.broadcast(touched), FACT_PARTITION, "left_semi")
     merged = merge_by_key(existing.select(*updates.columns), updates, key).checkpoint()
     (
         merged.write.mode("overwrite")
