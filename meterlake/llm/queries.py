@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import packing, quality, tokens
+from meterlake.llm import language, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return language.predict(documents, language.fit(documents))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
 }
 
