@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import language, packing, quality, tokens
+from meterlake.llm import language, packing, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,12 +41,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
