@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import language, packing, quality, tokens, toxicity
+from meterlake.llm import language, packing, quality, tokens, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), 20)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -47,6 +51,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
@@ -56,5 +61,6 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_exact_top_k": topk.TOP_K_SQL,
     "op8_quality_rules": quality.JUDGE_SQL,
 }

@@ -249,3 +249,27 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive offsets (0 where empty)."""
     total = np.concatenate([np.zeros(1, values.dtype if values.dtype.kind == "f" else np.int64), np.cumsum(values)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def subword_hashes(
+    data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, sizes: tuple[int, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every slice's byte n-grams (with marked ends) and of the whole
+    slice, one slice after another, and their offsets by slice; sizes up to 7."""
+    size = lengths + 2
+    at = np.concatenate([[0], np.cumsum(size)])
+    marked = np.zeros(int(at[-1]) + 8, np.uint8)
+    marked[at[:-1]] = ord("<")
+    marked[at[1:] - 1] = ord(">")
+    marked[ragged(at[:-1] + 1, lengths)] = data[ragged(starts, lengths)]
+    window = np.ndarray((len(marked) - 7,), dtype="<u8", buffer=marked, strides=(1,))
+    slice_of = np.repeat(np.arange(len(starts)), size)
+    left = np.repeat(at[1:], size) - np.arange(int(at[-1]))
+    owners, hashes = [np.arange(len(starts))], [slice_hashes(marked, at[:-1], size)]
+    for k in sizes:
+        begin = np.flatnonzero(left >= k)
+        owners.append(slice_of[begin])
+        hashes.append(mix64((window[begin] & _LOW[k]) | np.uint64(k << 56)))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(hashes)[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(starts)))])

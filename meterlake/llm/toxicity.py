@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.sampling import held_out, sample_per_label
-from meterlake.llm.text import Texts, codes_of, mix64, ragged, text_chunks
+from meterlake.llm.text import Texts, codes_of, ragged, subword_hashes, text_chunks
 
 DIMENSIONS = 4
 BUCKETS = 1 << 16
@@ -40,7 +40,6 @@ RATES = {"vectors": 1.0, "weights": 0.02, "bias": 0.05}
 THRESHOLD = 0.3
 SEED = 7
 
-_MASK = np.array([(1 << (8 * k)) - 1 for k in range(8)], np.uint64)
 _WORD_BYTE = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 
@@ -61,37 +60,8 @@ def words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def subwords(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of every word's subwords one after another, and their offsets by word."""
-    size = lengths + 2
-    at = np.concatenate([[0], np.cumsum(size)])
-    marked = np.zeros(int(at[-1]) + 8, np.uint8)
-    marked[at[:-1]] = ord("<")
-    marked[at[1:] - 1] = ord(">")
-    marked[ragged(at[:-1] + 1, lengths)] = data[ragged(starts, lengths)]
-    window = np.ndarray((len(marked) - 7,), dtype="<u8", buffer=marked, strides=(1,))
-    word_of = np.repeat(np.arange(len(starts)), size)
-    left = np.repeat(at[1:], size) - np.arange(int(at[-1]))
-    owners, hashes = [np.arange(len(starts))], [_whole(window, at, size)]
-    for k in GRAM_SIZES:
-        begin = np.flatnonzero(left >= k)
-        owners.append(word_of[begin])
-        hashes.append(mix64((window[begin] & _MASK[k]) | np.uint64(k << 56)))
-    owner, hashed = np.concatenate(owners), np.concatenate(hashes)
-    order = np.argsort(owner, kind="stable")
-    buckets = (hashed[order] % np.uint64(BUCKETS)).astype(np.int64)
-    return buckets, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(starts)))])
-
-
-def _whole(window: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A hash of each marked word as a whole."""
-    out = size.astype(np.uint64)
-    left, here, rows = size.copy(), at[:-1].copy(), np.arange(len(size))
-    while len(rows):
-        part = np.minimum(left[rows], 7)
-        out[rows] = mix64(out[rows] + (window[here[rows]] & _MASK[part]))
-        left[rows] -= part
-        here[rows] += part
-        rows = rows[left[rows] > 0]
-    return out
+    hashes, offsets = subword_hashes(data, starts, lengths, GRAM_SIZES)
+    return (hashes % np.uint64(BUCKETS)).astype(np.int64), offsets
 
 
 class Model:
