@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import language, packing, quality, tokens, topk, toxicity
+from meterlake.llm import language, packing, quality, tokens, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), 20)
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -52,6 +56,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_url_filters": op2_url_filters,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
