@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import language, packing, quality, tokens, topk, toxicity, urls
+from meterlake.llm import language, licenses, packing, quality, tokens, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.documents_as_files(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_url_filters": op2_url_filters,
@@ -63,9 +67,11 @@ QUERIES: dict[str, Query] = {
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.TOP_K_SQL,
     "op8_quality_rules": quality.JUDGE_SQL,
+    "op10_license_scans": licenses.scan_sql(),
 }
