@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.llm import language, licenses, packing, quality, tokens, topk, toxicity, urls
+from meterlake.llm import jaccard, language, licenses, packing, quality, tokens, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -61,6 +65,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_url_filters": op2_url_filters,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
