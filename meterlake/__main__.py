@@ -3,7 +3,7 @@
     python -m meterlake stream --log-dir DIR --out DIR [--mode chained|fanout]
                                [--trigger availableNow|"30 seconds"] [--timeout SEC]
     python -m meterlake stream --brokers HOST:PORT --topic T --out DIR ...
-    python -m meterlake models --source PARQUET_DIR --out DIR [--full-refresh] [--no-gate]
+    python -m meterlake models --source PARQUET_DIR | --source-table NAME --out DIR [--full-refresh] [--no-gate]
     python -m meterlake load --silver DIR --table NAME [--location DIR]
 
 Each command prints a short summary (row counts, preview, check results);
@@ -15,24 +15,27 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 from meterlake.config import build_session
-from meterlake.operators import reports
+from meterlake.operators import quality, reports
 from meterlake.plans import job
+from meterlake.schemas import READINGS_TOPIC
 from meterlake.sinks import warehouse
 from meterlake.sources.log import read_envelope_files, read_log
+from meterlake.sources.tables import read_written, source_table
 from meterlake.streaming import layers
 
 
 def _stream(args, spark) -> int:
     if args.brokers:
-        envelope = read_log(spark, args.brokers, args.topic, args.starting_offsets)
+        # A bounded run takes what is on the log; a live one starts with what comes.
+        offsets = args.starting_offsets or ("earliest" if args.trigger == "availableNow" else "latest")
+        envelope = read_log(spark, args.brokers, args.topic, offsets)
     else:
         envelope = read_envelope_files(spark, args.log_dir, max_files_per_trigger=args.max_files_per_trigger)
     paths = layers.LayerPaths(args.out)
-    trigger = None if args.trigger == "default" else args.trigger
-    layers.start_medallion(
+    trigger = args.trigger or ("30 seconds" if args.brokers else "availableNow")
+    trigger = None if trigger == "default" else trigger
+    started = layers.start_medallion(
         spark,
         envelope,
         paths,
@@ -40,21 +43,23 @@ def _stream(args, spark) -> int:
         trigger=trigger,
         gold_state_partitions=args.gold_state_partitions,
         date_partitions=args.date_partitions,
+        min_batches_to_retain=args.min_batches_to_retain,
     )
     if trigger not in ("availableNow", "once"):
-        layers.run_bounded(spark, args.timeout)
-    tables = {name: spark.read.parquet(paths.table(name)) for name in ("bronze", "silver", "gold")}
+        layers.run_bounded(started, args.timeout)
+    schemas = {"bronze": layers.BRONZE_SCHEMA, "silver": layers.SILVER_SCHEMA, "gold": layers.GOLD_SCHEMA}
+    tables = {name: read_written(spark, paths.table(name), schema) for name, schema in schemas.items()}
     reports.layer_counts(tables).show(truncate=False)
     reports.gold_preview(tables["gold"]).show(truncate=False)
     return 0
 
 
 def _models(args, spark) -> int:
-    source = spark.read.parquet(args.source)
+    source = source_table(spark, args.source_table) if args.source_table else spark.read.parquet(args.source)
     result = job.run_then_test(spark, source, args.out, args.full_refresh, fail_on_error=False)
     print(f"fact run: {result.fact_run.mode} (high-water mark {result.fact_run.high_water_mark})")
     result.checks.orderBy("model", "column_name", "check_type").show(50, truncate=False)
-    failed = result.checks.where(F.col("failures") > 0).count()
+    failed = not quality.outcome(result.checks).first()["passed"]
     return 1 if failed and not args.no_gate else 0
 
 
@@ -73,18 +78,21 @@ def main(argv: list[str] | None = None) -> int:
     src = s.add_mutually_exclusive_group(required=True)
     src.add_argument("--log-dir")
     src.add_argument("--brokers")
-    s.add_argument("--topic", default="meter-readings")
-    s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--topic", default=READINGS_TOPIC)
+    s.add_argument("--starting-offsets", default=None)
     s.add_argument("--max-files-per-trigger", type=int, default=None)
     s.add_argument("--out", required=True)
     s.add_argument("--mode", choices=["chained", "fanout"], default="chained")
-    s.add_argument("--trigger", default="availableNow")
+    s.add_argument("--trigger", default=None)
+    s.add_argument("--min-batches-to-retain", type=int, default=None)
     s.add_argument("--timeout", type=float, default=600.0)
     s.add_argument("--gold-state-partitions", type=int, default=None)
     s.add_argument("--date-partitions", action="store_true")
 
     m = sub.add_parser("models", help="build the marts, then run the 20 checks")
-    m.add_argument("--source", required=True)
+    given = m.add_mutually_exclusive_group(required=True)
+    given.add_argument("--source")
+    given.add_argument("--source-table")
     m.add_argument("--out", required=True)
     m.add_argument("--full-refresh", action="store_true")
     m.add_argument("--no-gate", action="store_true")

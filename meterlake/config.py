@@ -8,6 +8,8 @@ in local mode do we create a private folder and register it, as tests do.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -95,13 +97,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def _checkpoint_base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base:
+        if base.startswith("file:") and not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is {base}: executors of a cluster do not share a file: folder")
         return base
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared folder"
@@ -122,4 +123,34 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     path = "/".join([base, "meterlake", *parts])
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
+        at_session_end(spark, lambda: _delete(spark, path))
     return path
+
+
+_ENDINGS: dict[int, list] = {}
+
+
+def at_session_end(spark: SparkSession, action) -> None:
+    """Run ``action`` when the Python driver ends, while its session still runs.
+
+    Scratch folders and tables live as long as the session that made them: a
+    later action may still read them, nothing after it does."""
+    key = id(spark.sparkContext)
+    if key not in _ENDINGS:
+        _ENDINGS[key] = []
+        atexit.register(_end, spark, key)
+    _ENDINGS[key].append(action)
+
+
+def _end(spark: SparkSession, key: int) -> None:
+    actions = _ENDINGS.pop(key, [])
+    if getattr(spark.sparkContext, "_jsc", None) is None:
+        return  # stopped before: nothing can be reached any more
+    for action in reversed(actions):
+        with contextlib.suppress(Exception):  # a folder may be gone already
+            action()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -27,5 +27,6 @@ def day_of_week(ts: Column) -> Column:
 
 
 def day_name(ts: Column) -> Column:
-    """English day name from the fixed list; NULL time gives NULL."""
-    return F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.dayofweek(ts))
+    """English day name from the fixed list; NULL time gives NULL (said apart:
+    an element of a constant array is never NULL to the code generator)."""
+    return F.when(ts.isNotNull(), F.element_at(F.array(*[F.lit(d) for d in DAY_NAMES]), F.dayofweek(ts)))

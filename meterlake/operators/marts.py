@@ -133,3 +133,45 @@ def dim_grid_zones_from_meter_hours(mh: DataFrame) -> DataFrame:
 def dim_dates_from_meter_hours(mh: DataFrame) -> DataFrame:
     hours = mh.select(F.col("consumption_hour").alias("event_timestamp"))
     return dim_dates(hours)
+
+
+def from_meter_hours(mh: DataFrame) -> dict[str, DataFrame]:
+    """All four marts from the meter x hour totals."""
+    return {
+        "fct_energy_consumption": fact_consumption(hourly_from_meter_hours(mh)),
+        "dim_meters": dim_meters_from_meter_hours(mh),
+        "dim_grid_zones": dim_grid_zones_from_meter_hours(mh),
+        "dim_dates": dim_dates_from_meter_hours(mh),
+    }
+
+
+# --- incremental meter hours ---------------------------------------------------------
+# Sums, counts, minima and maxima of parts merge into those of the whole, so
+# the totals can be kept as one set of partial rows per delivery.
+
+
+def meter_hour_parts(staged: DataFrame) -> DataFrame:
+    """Mergeable totals of one delivery of readings (the average as sum and count)."""
+    hour = truncate_like(staged, "hour", "event_timestamp")
+    return staged.groupBy("meter_id", "grid_zone", "meter_type", hour.alias("consumption_hour")).agg(
+        F.sum("kwh_reading").alias("total_kwh"),
+        F.count("kwh_reading").alias("kwh_count"),
+        F.max("kwh_reading").alias("max_kwh"),
+        F.count(F.lit(1)).alias("reading_count"),
+        F.sum(F.when(F.col("is_anomaly"), 1).otherwise(0)).alias("anomaly_count"),
+        F.min("event_timestamp").alias("first_reading_at"),
+        F.max("event_timestamp").alias("last_reading_at"),
+    )
+
+
+def merged_meter_hours(parts: DataFrame) -> DataFrame:
+    """``meter_hours`` of all deliveries from their partial rows."""
+    return parts.groupBy("meter_id", "grid_zone", "meter_type", "consumption_hour").agg(
+        F.sum("total_kwh").alias("total_kwh"),
+        (F.sum("total_kwh") / F.sum("kwh_count")).alias("avg_kwh"),
+        F.max("max_kwh").alias("max_kwh"),
+        F.sum("reading_count").alias("reading_count"),
+        F.sum("anomaly_count").alias("anomaly_count"),
+        F.min("first_reading_at").alias("first_reading_at"),
+        F.max("last_reading_at").alias("last_reading_at"),
+    )

@@ -3,10 +3,9 @@
 A check passes when it finds no failures. ``failing_rows`` returns what a
 check reports (the rows or values at fault); ``evaluate`` returns one row
 per check, ``(model, column_name, check_type, failures)``, computed with few
-passes: every not_null check of a table is folded into one aggregate;
-each accepted_values check filters in the scan before it aggregates; each
-unique check is one aggregation whose partial aggregate runs before its
-shuffle.
+passes: the not_null and accepted_values checks of a table share one scan,
+and each unique check is one aggregation whose partial aggregate runs before
+its shuffle.
 
 ``failures`` counts what the check's failing-rows query returns: NULL rows
 for not_null, duplicated values for unique, distinct unaccepted values for
@@ -121,34 +120,67 @@ def _rows(checks: list[Check], counts: DataFrame) -> DataFrame:
 def evaluate(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check with its failure count.
 
-    Per table, every not_null check is folded into one aggregate over one
-    scan. Each accepted_values check is its failing-rows query counted:
-    the ``NOT IN`` filter reaches the scan (and becomes partition pruning on
-    a zone-partitioned layer), so valid data is skipped before any
-    aggregation, and no per-row expansion for distinct counts is needed.
-    Each unique check is one group-by on its column, partially aggregated
-    before the shuffle.
+    Per table one scan serves all not_null and accepted_values checks: rows
+    are reduced to one per combination of the columns with accepted values,
+    with their NULL counts (partially before the shuffle), and the results
+    come from that small frame. Each unique check is one group-by on its
+    column, partially aggregated before the shuffle; a not_null check of the
+    same column is answered by it too, so a dimension is read once.
     """
     parts: list[DataFrame] = []
     for model in dict.fromkeys(c.model for c in checks):
         df = tables[model]
         group = [c for c in checks if c.model == model]
-        not_null = [c for c in group if c.kind == "not_null"]
-        if not_null:
-            counts = df.agg(
-                *[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"c{i}") for i, c in enumerate(not_null)]
-            )
-            parts.append(_rows(not_null, counts))
-        for c in group:
-            if c.kind != "not_null":
-                n = failing_rows(df, c).agg(F.count(F.lit(1)).alias("c0"))
-                parts.append(_rows([c], n))
+        unique = [c for c in group if c.kind == "unique"]
+        keyed = {c.column for c in unique}
+        for c in unique:
+            both = [c, *[x for x in group if x.kind == "not_null" and x.column == c.column]]
+            n = df.groupBy(F.col(c.column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            null, twice = F.col("v").isNull(), F.col("v").isNotNull() & (F.col("n") > 1)
+            counts = n.agg(*[
+                F.sum(F.when(twice, 1) if x.kind == "unique" else F.when(null, F.col("n"))).alias(f"c{i}") for i, x in enumerate(both)
+            ])
+            parts.append(_rows(both, counts))
+        rest = [c for c in group if c.kind == "accepted_values" or (c.kind == "not_null" and c.column not in keyed)]
+        if rest:
+            parts.append(_rows(rest, _folded(df, rest)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _folded(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row of failure counts (``c<i>``) from one scan."""
+    valued = list(dict.fromkeys(c.column for c in checks if c.kind == "accepted_values"))
+    nulls = [c for c in checks if c.kind == "not_null"]
+    small = df.groupBy(*valued).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.when(F.col(c.column).isNull(), 1).otherwise(0)).alias(f"null_{c.column}") for c in nulls],
+    )
+    return small.agg(*[
+        F.sum(f"null_{c.column}").alias(f"c{i}") if c.kind == "not_null"
+        else F.count_distinct(F.when(~F.col(c.column).isin(*c.values), F.col(c.column))).alias(f"c{i}")
+        for i, c in enumerate(checks)
+    ])
+
+
+RESULT_SCHEMA = "model string, column_name string, check_type string, failures bigint"
+
+
+def evaluated(results: DataFrame) -> DataFrame:
+    """The results as values: the checks run here, once (at most one small row
+    per check reaches the driver), however often the results are used after."""
+    rows = [tuple(r) for r in results.collect()]
+    return results.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def outcome(results: DataFrame) -> DataFrame:
+    """The gate's verdict: checks run, checks failed, and whether the run passes."""
+    failed = F.sum(F.when(F.col("failures") > 0, 1).otherwise(0))
+    return results.agg(F.count(F.lit(1)).alias("checks"), failed.alias("failed"), (failed == 0).alias("passed"))
+
+
 def duplicate_key_summary(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """For each unique check: duplicated keys, the rows they cover, the
     largest group."""

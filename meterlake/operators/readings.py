@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.functions.text import iso_utc_text
 from meterlake.functions.validation import valid_reading
-from meterlake.schemas import ALERT_TYPE, READING_SCHEMA, STAGING_COLUMNS
+from meterlake.schemas import ALERT_SCHEMA, ALERT_TYPE, READING_SCHEMA, STAGING_COLUMNS
 
 # A clock gives the processing-time stamp of a layer. The default is
 # ``current_timestamp()`` (one value per query / micro-batch); tests inject a
@@ -25,19 +26,23 @@ def _now(clock: Clock) -> Column:
     return clock() if clock is not None else F.current_timestamp()
 
 
-def parse_envelope(envelope: DataFrame, clock: Clock = None, log_time_col: str = "kafka_ts") -> DataFrame:
+def parse_envelope(
+    envelope: DataFrame, clock: Clock = None, log_time_col: str = "kafka_ts", schema: T.StructType = READING_SCHEMA
+) -> DataFrame:
     """Bronze: JSON payload -> typed reading columns, plus log and ingest time.
 
     Malformed, empty or NULL payloads give an all-NULL reading (kept; silver
     drops it). A wrong-typed field nulls only that field; unknown fields are
     ignored. An unparseable timestamp text gives NULL instead of failing.
+    ``schema`` is the reading's: a later generation may add fields, which then
+    enter bronze (read a mixed table with ``read_layer(merge_schema=True)``).
 
     The struct is expanded with ``inline`` so the JSON text is parsed exactly
     once per record: expanding it with ``data.*`` would let the optimizer
     push each later filter below the expansion and re-parse per predicate.
     """
     parsed = envelope.select(
-        F.inline(F.array(F.from_json(F.col("value").cast("string"), READING_SCHEMA))),
+        F.inline(F.array(F.from_json(F.col("value").cast("string"), schema))),
         F.col("timestamp").alias(log_time_col),
     )
     return parsed.withColumn("event_timestamp", F.try_to_timestamp(F.col("timestamp"))).withColumn(
@@ -84,10 +89,14 @@ def alert_messages(readings: DataFrame) -> DataFrame:
     )
 
 
-def alert_log_messages(readings_df: DataFrame) -> DataFrame:
-    """Alerts as (key, value) messages for the alerts topic."""
-    alerts = alert_messages(readings_df)
-    return keyed_messages(alerts, fields=alerts.columns)
+def alert_log_messages(readings_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Alerts as (key, value) messages for the alerts topic; ``keep`` passes
+    further columns of the readings through."""
+    fields = [f.name for f in ALERT_SCHEMA.fields]
+    alerts = with_reading_text(readings_df).where(F.col("is_anomaly")).withColumns(
+        {"kwh": F.col("kwh_reading"), "alert_type": F.lit(ALERT_TYPE)}
+    )
+    return keyed_messages(alerts, fields=fields, keep=keep)
 
 
 def keyed_messages(

@@ -11,32 +11,38 @@ from meterlake.operators.joins import skew_safe_join
 
 def stable(x: Column | str, digits: int = 6) -> Column:
     """Round a double for ranking ties: sums depend on addition order in the
-    last bits, so equal totals must compare equal before a tie-break."""
+    last bits, so equal totals must compare equal before a tie-break.
+
+    Small totals are rounded to ``digits`` decimals. Beyond 10^5 that is finer
+    than what addition order leaves of a sum of very many readings, so the
+    rounding becomes relative: 11 significant digits remain."""
     x = F.col(x) if isinstance(x, str) else x
-    return F.round(x + F.lit(1e-9), digits)
+    step = F.pow(F.lit(10.0), F.ceil(F.log10(F.greatest(F.abs(x), F.lit(1.0)))) - 11)
+    return F.when(F.abs(x) < 1e5, F.round(x + F.lit(1e-9), digits)).otherwise(F.rint(x / step) * step)
 
 
-def zone_hour_rank(fact: DataFrame, zones: DataFrame, state: str = "NRW") -> DataFrame:
+def zone_hour_rank(fact: DataFrame, zones: DataFrame, state: str = "NRW", built_in_states: bool = False) -> DataFrame:
     """Zones of one federal state ranked by consumption within each hour.
 
-    The zone dimension maps states with the fixed zone mapping, so the join
-    can only keep fact rows of ``zones_in_state(state)``. That implied
-    predicate is stated on the fact too: Catalyst pushes it below the
-    partial aggregate, and into the scan (or partition pruning) where the
-    zone is a stored column. The dimension, filtered to the state, has at
-    most that many rows (one row per zone): a proven bound, so it is
-    broadcast and the fact is never shuffled for the join. The ranking
-    window then sees at most that many rows per hour.
+    Which zones belong to the state is what ``zones`` says; a state that the
+    dimension does not know gives no rows. The fact is summed per hour and
+    zone (partially before its shuffle), so the join and the ranking see one
+    row per hour and zone. The dimension has one row per zone and carries no
+    broadcast hint: AQE broadcasts it once it has measured it.
+
+    ``built_in_states`` says that the dimension was derived with the fixed
+    zone mapping (``dim_grid_zones``). Only then the state implies the zones
+    of that mapping, and the implied predicate is stated on the fact too, so
+    it reaches the scan (or partition pruning).
     """
-    in_state_zones = zones_in_state(state)
-    if not in_state_zones:
-        raise ValueError(f"no zone maps to state {state!r}")
+    if built_in_states:
+        fact = fact.where(F.col("grid_zone").isin(zones_in_state(state)))
     in_state = zones.where(F.col("federal_state") == state).select("grid_zone", "grid_zone_name")
     per_zone = (
-        fact.where(F.col("grid_zone").isin(in_state_zones))
-        .join(F.broadcast(in_state), "grid_zone")
-        .groupBy("consumption_hour", "grid_zone", "grid_zone_name")
+        fact.groupBy("consumption_hour", "grid_zone")
         .agg(F.sum("total_kwh").alias("total_kwh"), F.sum("reading_count").alias("reading_count"))
+        .join(in_state, "grid_zone")
+        .select("consumption_hour", "grid_zone", "grid_zone_name", "total_kwh", "reading_count")
     )
     order = Window.partitionBy("consumption_hour").orderBy(stable("total_kwh").desc(), F.col("grid_zone"))
     return per_zone.withColumn("zone_rank", F.row_number().over(order))
@@ -59,18 +65,18 @@ def spiking_meters(alerts: DataFrame, meters: DataFrame) -> DataFrame:
     )
 
 
-def spike_timeline(alerts: DataFrame, meters: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def spike_timeline(alerts: DataFrame, meters: DataFrame) -> DataFrame:
     """Every spike with its meter's attributes, in time order.
 
     All alert rows are joined to the meter dimension, so a meter with a
     very large share of the alerts would put that share in one join task.
-    The join is therefore salted for meters above ``hot_rows`` alerts (see
+    The join is therefore salted for meters above the mean task's share (see
     ``skew_safe_join``). The final order is a range-partitioned sort, whose
     sampled bounds also split a hot period.
     """
     m = meters.select("meter_id", "first_seen_at", "total_readings")
     return (
-        skew_safe_join(alerts, m, "meter_id", hot_rows=hot_rows)
+        skew_safe_join(alerts, m, "meter_id")
         .select(
             "event_timestamp",
             "meter_id",
@@ -136,7 +142,9 @@ def star_join(fact: DataFrame, meters: DataFrame, zones: DataFrame, dates: DataF
     Zone and type come from the fact row (they are per hour). Join strategy
     is left to AQE, which broadcasts a dimension only after measuring it
     below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise
-    keeps a shuffle join; the meter dimension grows with the fleet.
+    keeps a shuffle join; the meter dimension grows with the fleet. Pass marts
+    that were derived from one ``meter_hours`` table, so the readings behind
+    them are read once.
     """
     m = meters.select("meter_id", "first_seen_at", "last_seen_at", "total_readings")
     z = zones.select("grid_zone", "grid_zone_name", "federal_state")

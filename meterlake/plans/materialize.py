@@ -78,7 +78,9 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
     missing one."""
     try:
         return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS, FACT_PARTITION)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise  # an unreadable target must not be taken for a missing one and overwritten
         return None
 
 
@@ -154,12 +156,14 @@ def upsert_fact(spark: SparkSession, target_path: str, updates: DataFrame, key:
     # One row per calendar date the updates touch (a century is 36,525 rows
     # of 4 bytes): a proven bound, so it is broadcast and a hot day of the
     # target is never shuffled into one task; it also drives partition
-    # pruning of the target scan.
-    touched = updates.select(FACT_PARTITION).distinct()
-    existing = spark.read.parquet(target_path).join(F.broadcast(touched), FACT_PARTITION, "left_semi")
+    # pruning of the target scan. NULL hours live in the NULL date, which the
+    # overwrite replaces like any other, so it must match itself here.
+    touched = updates.select(F.col(FACT_PARTITION).alias("touched_date")).distinct()
+    target = spark.read.schema(updates.schema).parquet(target_path)
+    existing = target.join(F.broadcast(touched), F.col(FACT_PARTITION).eqNullSafe(F.col("touched_date")), "left_semi")
     merged = merge_by_key(existing.select(*updates.columns), updates, key).checkpoint()
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", FACT_PARTITION).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(FACT_PARTITION)
         .parquet(target_path)

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from meterlake.operators import marts, readings
+from meterlake.plans.materialize import as_table
 
 
 @dataclass
@@ -47,6 +48,12 @@ class Models:
     def dim_dates(self) -> DataFrame:
         return marts.dim_dates(self.staging)
 
+    def derived_once(self, path: str) -> dict[str, DataFrame]:
+        """The marts from one pass over the source: meter x hour totals are
+        written to ``path`` and all four marts are derived from that table."""
+        mh = as_table(marts.meter_hours(self.staging), path)
+        return marts.from_meter_hours(mh)
+
     def marts(self) -> dict[str, DataFrame]:
         return {
             "fct_energy_consumption": self.fact,

@@ -14,15 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.config import shared_dir
+from meterlake.config import at_session_end, shared_dir
 from meterlake.functions.validation import rule_columns, valid_reading
 from meterlake.operators import marts, quality, readings, reports, windows
 from meterlake.plans import job, materialize
 from meterlake.plans.models import Models
-from meterlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from meterlake.schemas import BRONZE_COLUMNS, READING_SCHEMA, SILVER_COLUMNS
 from meterlake.sinks import warehouse
 from meterlake.sources.fixtures import meter_readings, stream_meter_readings
 from meterlake.sources.log import envelope_from_messages, read_envelope_files
+from meterlake.sources.tables import read_layer, source_table
 from meterlake.streaming import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +55,9 @@ def staging_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models(spark, sf_dir).staging
 
 
-def rejected_counts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rejected_counts_by_rule(spark: SparkSession, sf_dir: str, variant: str = "native") -> DataFrame:
     """Rows failing each validation rule (NULL counts as failing), one pass."""
-    raw = meter_readings(spark, sf_dir)
+    raw = meter_readings(spark, sf_dir, variant)
     rules = dict(rule_columns())
     rules["all_rules"] = valid_reading()
     counts = raw.agg(
@@ -107,7 +108,7 @@ def gold_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nrw_zone_hour_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
-    return _round(reports.zone_hour_rank(m.fact, m.dim_grid_zones, "NRW"), ["total_kwh"])
+    return _round(reports.zone_hour_rank(m.fact, m.dim_grid_zones, "NRW", built_in_states=True), ["total_kwh"])
 
 
 def spiking_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,8 +137,9 @@ def zone_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = models(spark, sf_dir)
-    return _round(reports.star_join(m.fact, m.dim_meters, m.dim_grid_zones, m.dim_dates), _FACT_DOUBLES)
+    m = models(spark, sf_dir).derived_once(shared_dir(spark, "meter_hours"))
+    joined = reports.star_join(m["fct_energy_consumption"], m["dim_meters"], m["dim_grid_zones"], m["dim_dates"])
+    return _round(joined, _FACT_DOUBLES)
 
 
 def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,11 +206,12 @@ def dq_source_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_mart_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.evaluate(models(spark, sf_dir).marts(), quality.MART_SUITE)
+    """Over marts derived once, as in the job."""
+    return quality.evaluate(models(spark, sf_dir).derived_once(shared_dir(spark, "meter_hours")), quality.MART_SUITE)
 
 
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_key_summary(models(spark, sf_dir).marts(), quality.MART_SUITE)
+    return quality.duplicate_key_summary(models(spark, sf_dir).derived_once(shared_dir(spark, "meter_hours")), quality.MART_SUITE)
 
 
 def dq_zone_change_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,18 +288,6 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.layer_counts({"bronze": bronze, "silver": silver, "gold": gold})
 
 
-def _write_log(spark: SparkSession, raw: DataFrame) -> str:
-    """Write the log as several files, like the partitions of a topic.
-
-    Rows are spread round-robin, not by key: a meter holding a third of the
-    readings must not make one log partition (and its bronze task) hot.
-    """
-    path = shared_dir(spark, "log")
-    parts = spark.sparkContext.defaultParallelism
-    envelope_log(raw).repartition(parts).write.mode("overwrite").parquet(path)
-    return path
-
-
 # Gold state holds about zones x types x open windows keys at any input
 # volume (the aggregate is partial before the shuffle), so a few state
 # partitions suffice.
@@ -370,6 +361,7 @@ def load_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver.write.mode("overwrite").partitionBy("grid_zone").parquet(silver_path)
     table = "meter_readings_" + silver_path.rstrip("/").rsplit("/", 1)[-1]
     result = warehouse.load_silver(spark, silver_path, table, shared_dir(spark, "warehouse"))
+    at_session_end(spark, lambda: spark.sql(f"DROP TABLE IF EXISTS {result.table}"))
     return spark.table(result.table)
 
 
@@ -389,3 +381,166 @@ QUERIES.update(
         "load_silver_table": load_silver_table,
     }
 )
+
+
+# --- unusual readings, skew, later deliveries --------------------------------------
+
+
+def staging_readings_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models(spark, sf_dir, "edge").staging
+
+
+def rejected_counts_by_rule_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_counts_by_rule(spark, sf_dir, "edge")
+
+
+def dim_grid_zones_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models(spark, sf_dir, "edge").dim_grid_zones
+
+
+def dim_dates_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a time give one row of NULLs."""
+    return models(spark, sf_dir, "edge").dim_dates
+
+
+def fact_consumption_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(models(spark, sf_dir, "edge").fact, _FACT_DOUBLES)
+
+
+def gold_5min_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a time are in no window."""
+    return _round(_gold_batch(spark, sf_dir, "edge"), _GOLD_DOUBLES)
+
+
+def dq_source_suite_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.evaluate({"meter_readings": meter_readings(spark, sf_dir, "edge")}, quality.SOURCE_SUITE)
+
+
+def dq_mart_suite_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.evaluate(models(spark, sf_dir, "edge").derived_once(shared_dir(spark, "meter_hours")), quality.MART_SUITE)
+
+
+def fact_upsert_null_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An update of some of the keys whose hour is NULL keeps the others."""
+    fact = models(spark, sf_dir, "edge").fact
+    target = shared_dir(spark, "fact_null_hours")
+    materialize.incremental_fact(spark, models(spark, sf_dir, "edge").staging, target)
+    even = F.col("consumption_hour").isNull() & (F.substring("meter_id", 7, 4).cast("int") % 2 == 0)
+    materialize.upsert_fact(spark, target, fact.where(even).withColumn("reading_count", F.col("reading_count") + 1))
+    return _round(materialize.read_fact(spark, target), _FACT_DOUBLES)
+
+
+def zone_rank_extended_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking follows a dimension that knows more zones than the mapping."""
+    m = models(spark, sf_dir, "edge")
+    state = F.when(F.col("grid_zone") == "NRW-East", "NRW").otherwise(F.col("federal_state"))
+    zones = m.dim_grid_zones.withColumns({"federal_state": state, "grid_zone_name": F.coalesce("grid_zone_name", "grid_zone")})
+    return _round(reports.zone_hour_rank(m.fact, zones, "NRW"), ["total_kwh"])
+
+
+def spike_timeline_hot_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One meter sends a third of the readings: its alerts are salted in the join."""
+    m = models(spark, sf_dir, "hot_meter")
+    return reports.spike_timeline(m.alerts, m.dim_meters)
+
+
+def gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate decides on the whole job (the fixture fails it on purpose)."""
+    return quality.outcome(build_then_test(spark, sf_dir))
+
+
+def _malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a log on which some payloads are cut off."""
+    log = envelope_log(meter_readings(spark, sf_dir))
+    # The log time is one second after the reading's.
+    bad = (F.unix_seconds(F.col("timestamp")) - 1) % 37 == 0
+    cut = F.expr("cast(left(cast(value as string), 20) as binary)")
+    return readings.parse_envelope(log.withColumn("value", F.when(bad, cut).otherwise(F.col("value"))), _bronze_clock)
+
+
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(_malformed(spark, sf_dir).select(*BRONZE_COLUMNS))
+
+
+def silver_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(readings.silver(_malformed(spark, sf_dir), _silver_clock).select(*SILVER_COLUMNS))
+
+
+def _delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter x hour totals kept by a stream over silver, in two deliveries."""
+    staged = models(spark, sf_dir).staging
+    silver_path, path, checkpoint = (shared_dir(spark, x) for x in ("silver_feed", "meter_hours", "meter_hours_checkpoint"))
+    odd_hour = F.hour("event_timestamp") % 2 == 1
+    for delivery in (staged.where(~odd_hour), staged.where(odd_hour)):
+        delivery.write.mode("append").parquet(silver_path)
+        feed = layers.read_layer_stream(spark, silver_path, staged.schema)
+        layers.update_meter_hours(feed, path, checkpoint).awaitTermination()
+    return layers.read_meter_hours(spark, path)
+
+
+def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(marts.from_meter_hours(_delivered_twice(spark, sf_dir))["fct_energy_consumption"], _FACT_DOUBLES)
+
+
+def built_dim_meters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.from_meter_hours(_delivered_twice(spark, sf_dir))["dim_meters"]
+
+
+def built_dim_grid_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.from_meter_hours(_delivered_twice(spark, sf_dir))["dim_grid_zones"]
+
+
+def built_dim_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.from_meter_hours(_delivered_twice(spark, sf_dir))["dim_dates"]
+
+
+def load_then_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load job's table as the models' declared source."""
+    silver_path = shared_dir(spark, "silver_layer")
+    readings.silver(_bronze(spark, sf_dir), _silver_clock).write.mode("overwrite").partitionBy("grid_zone").parquet(silver_path)
+    table = "meter_readings_" + silver_path.rstrip("/").rsplit("/", 1)[-1]
+    warehouse.load_silver(spark, silver_path, table, shared_dir(spark, "warehouse"))
+    at_session_end(spark, lambda: spark.sql(f"DROP TABLE IF EXISTS {table}"))
+    out = reports.consumption_by_type(Models(source_table(spark, table)).fact)
+    return _round(_round(out, ["total_kwh"], 4, 1e-7), ["avg_kwh", "max_kwh"])
+
+
+def bronze_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of odd hours come with one field more; both generations are one table."""
+    raw = meter_readings(spark, sf_dir)
+    later = T.StructType([*READING_SCHEMA.fields, T.StructField("firmware", T.StringType())])
+    path = shared_dir(spark, "bronze_generations")
+    odd_hour = F.hour("event_timestamp") % 2 == 1
+    generations = (
+        (raw.where(~odd_hour), READING_SCHEMA),
+        (raw.where(odd_hour).withColumn("firmware", F.concat(F.lit("fw-"), "meter_type")), later),
+    )
+    for rows, schema in generations:
+        fields = [f.name for f in schema.fields]
+        messages = readings.keyed_messages(readings.with_reading_text(rows), fields=fields, keep=["event_timestamp"])
+        log = envelope_from_messages(messages, F.col("event_timestamp").cast("timestamp") + _seconds(1))
+        readings.parse_envelope(log, _bronze_clock, schema=schema).write.mode("append").parquet(path)
+    return _ntz(read_layer(spark, path, merge_schema=True).select(*BRONZE_COLUMNS, "firmware"))
+
+
+def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts published by a stream to their own topic (envelope files), read back."""
+    path = shared_dir(spark, "alerts_topic")
+    stream = stream_meter_readings(spark, sf_dir)
+    stamp = F.col("event_timestamp").cast("timestamp") + _seconds(1)
+    layers.publish_alerts(stream, path, shared_dir(spark, "alerts_checkpoint"), log_time=stamp).awaitTermination()
+    out = read_envelope_files(spark, path, stream=False)
+    return _ntz(out.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic", "timestamp"))
+
+
+QUERIES.update(
+    {
+        f.__name__: f
+        for f in (
+            staging_readings_edge, rejected_counts_by_rule_edge, dim_grid_zones_edge, dim_dates_edge, fact_consumption_edge,
+            gold_5min_edge, dq_source_suite_edge, dq_mart_suite_edge, fact_upsert_null_hours, zone_rank_extended_dimension,
+            spike_timeline_hot_meter, gate_outcome, bronze_malformed, silver_malformed, built_fact, built_dim_meters,
+            built_dim_grid_zones, built_dim_dates, load_then_models, bronze_two_schemas, alerts_stream,
+        )
+    }
+)

@@ -40,8 +40,8 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"
 SURROGATE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
 # Default names of the log topics.
-READINGS_TOPIC = "meter-readings"
-ALERTS_TOPIC = "meter-alerts"
+READINGS_TOPIC = "raw-meter-readings"
+ALERTS_TOPIC = "anomaly-alerts"
 
 # ---------------------------------------------------------------------------
 # Schemas

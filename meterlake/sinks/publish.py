@@ -33,3 +33,14 @@ def publish_messages(
         return
     envelope = envelope_from_messages(messages, log_time if log_time is not None else F.current_timestamp(), topic)
     envelope.write.mode("append").parquet(target)
+
+
+def write_envelope_files(envelope: DataFrame, path: str) -> str:
+    """Write log records as several files, like the partitions of a topic.
+
+    Rows are spread round-robin, not by key: a meter holding a third of the
+    readings must not make one log partition (and its bronze task) hot.
+    """
+    parts = envelope.sparkSession.sparkContext.defaultParallelism
+    envelope.repartition(parts).write.mode("overwrite").parquet(path)
+    return path

@@ -37,39 +37,56 @@ def _event_time(variant: str) -> str:
         return "ts"
     if variant == "dense":
         return _DENSE_TS
+    if variant == "edge":
+        return _EDGE_TS
     raise ValueError(f"unknown variant {variant!r}")
 
 
+# The "edge" variant: some readings have no time, a zone or type the models do
+# not know, or a voltage that is not a number. One row in, one row out.
+_EDGE_TS = "case when event_id % 61 = 0 then cast(null as timestamp_ntz) else ts end"
+
 # The zone of a meter: fixed per meter, or (variant "zone_flip") moved to the
 # next zone for readings in the second half of each hour, so that meters
 # change zone inside an hour.
 _ZONE_KEY = {
     "fixed": "user_id",
+    "edge": "user_id",
     "zone_flip": "(user_id + case when minute({ts}) >= 30 then 1 else 0 end)",
 }
 
 
-def _adapter_columns(ts: str, zone: str = "fixed") -> list[str]:
+HOT_METER = "case when event_id % 3 = 0 then 7 else user_id end"
+
+
+def _adapter_columns(ts: str, zone: str = "fixed", meter: str = "user_id") -> list[str]:
     # The fixture mapping, written once as SQL expressions (the same text the
     # oracle uses); Spark parses it on the JVM side in one call.
+    odd_zone = "when event_id % 59 = 0 then 'NRW-East' when event_id % 53 = 0 then 'Atlantis' " if zone == "edge" else ""
+    odd_type = "when event_id % 47 = 0 then 'unmetered' " if zone == "edge" else ""
+    odd_voltage = "when event_id % 43 = 0 then cast('NaN' as double) " if zone == "edge" else ""
     return [
-        """case when event_id % 103 = 0 then null
-                else concat('METER-', lpad(cast(user_id as string), 4, '0')) end as meter_id""",
+        f"""case when event_id % 103 = 0 then null
+                else concat('METER-', lpad(cast({meter} as string), 4, '0')) end as meter_id""",
         f"{ts} as event_timestamp",
         """case when event_id % 97 = 0 then null
                 when event_id % 89 = 0 then -1.5e0
                 when event_id % 50 = 0 then value * 3
                 else value end as kwh_reading""",
-        """case when event_id % 101 = 0 then null
-                when event_id % 83 = 0 then 190.0e0
+        f"""case when event_id % 101 = 0 then null
+                {odd_voltage}when event_id % 83 = 0 then 190.0e0
                 when event_id % 84 = 0 then 200.0e0
                 when event_id % 86 = 0 then 260.0e0
                 else 218 + cast(event_id % 241 as double) / 10 end as voltage""",
         """case when event_id % 79 = 0 then 51.5e0
                 when event_id % 78 = 0 then 49.0e0
                 else 49.8e0 + cast(event_id % 41 as double) / 100 end as frequency""",
+        f"""case {odd_zone}else case {_ZONE_KEY[zone].format(ts=ts)} % 5 when 0 then 'NRW-North' when 1 then 'NRW-South'
+                 when 2 then 'Bavaria' when 3 then 'Saxony' else 'Hamburg' end end as grid_zone""" if odd_zone else
         f"""case {_ZONE_KEY[zone].format(ts=ts)} % 5 when 0 then 'NRW-North' when 1 then 'NRW-South'
                  when 2 then 'Bavaria' when 3 then 'Saxony' else 'Hamburg' end as grid_zone""",
+        f"""case {odd_type}else case user_id % 3 when 0 then 'residential' when 1 then 'commercial'
+                            else 'industrial' end end as meter_type""" if odd_type else
         """case user_id % 3 when 0 then 'residential' when 1 then 'commercial'
                             else 'industrial' end as meter_type""",
         "case when event_id % 71 = 0 then null else event_id % 50 = 0 end as is_anomaly",
@@ -80,7 +97,13 @@ def _adapter_columns(ts: str, zone: str = "fixed") -> list[str]:
 
 def readings_from_events(events: DataFrame, variant: str = "native") -> DataFrame:
     """Variants: "native" and "dense" (time scale), "zone_flip" (native time,
-    meters change zone at half past each hour)."""
+    meters change zone at half past each hour), "edge" (missing times, unknown
+    zones and types, a voltage that is not a number), "hot_meter" (one meter
+    sends a third of all readings)."""
+    if variant == "edge":
+        return events.selectExpr(*_adapter_columns(_event_time("edge"), "edge"))
+    if variant == "hot_meter":
+        return events.selectExpr(*_adapter_columns(_event_time("native"), meter=HOT_METER))
     if variant == "zone_flip":
         return events.selectExpr(*_adapter_columns(_event_time("native"), "zone_flip"))
     return events.selectExpr(*_adapter_columns(_event_time(variant)))

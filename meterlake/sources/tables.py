@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
@@ -29,6 +31,19 @@ def read_parquet_dir(spark: SparkSession, path: str, merge_schema: bool = False)
     return read_layer(spark, path, "parquet", merge_schema)
 
 
+def read_written(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A layer that a stream may not have written to yet: with its schema given,
+    a folder without rows (or none at all) is an empty layer."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def source_table(spark: SparkSession, name: str) -> DataFrame:
-    """A declared source: a catalog table or a temp view of that name."""
-    return spark.table(name)
+    """A declared source: a catalog table or a temp view of that name, with
+    lower-case column names (the load job's tables have upper-case ones)."""
+    table = spark.table(name)
+    return table.toDF(*[c.lower() for c in table.columns])

@@ -24,22 +24,37 @@ sees its upstream complete), a processing-time string such as
 
 from __future__ import annotations
 
+import contextlib
+import threading
+import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from meterlake.operators import readings, windows
+from meterlake.operators import marts, readings, windows
 from meterlake.operators.readings import Clock
-from meterlake.schemas import GOLD_WATERMARK, GOLD_WINDOW, READING_SCHEMA
+from meterlake.schemas import ALERTS_TOPIC, GOLD_COLUMNS, GOLD_WATERMARK, GOLD_WINDOW, READING_SCHEMA
+from meterlake.sources.log import envelope_from_messages
 
 _TS = T.TimestampType()
 BRONZE_SCHEMA = T.StructType(
     READING_SCHEMA.fields
     + [T.StructField("kafka_ts", _TS), T.StructField("event_timestamp", _TS), T.StructField("ingest_timestamp", _TS)]
 )
+GOLD_SCHEMA = T.StructType(
+    [
+        T.StructField(name, kind)
+        for name, kind in zip(
+            GOLD_COLUMNS,
+            [_TS, _TS, T.StringType(), T.StringType(), *[T.DoubleType()] * 3, T.LongType(), T.LongType(), *[T.DoubleType()] * 2],
+            strict=True,
+        )
+    ]
+)
 SILVER_SCHEMA = T.StructType(
     BRONZE_SCHEMA.fields + [T.StructField("is_valid", T.BooleanType()), T.StructField("processed_timestamp", _TS)]
 )
@@ -73,14 +88,19 @@ def _with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWr
 def write_stream(
     df: DataFrame,
     path: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     trigger: str | None = "availableNow",
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a table folder with its own checkpoint."""
-    writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    """Append a stream to a table folder with its own checkpoint.
+
+    Without ``checkpoint``, the session's default location is used
+    (``spark.sql.streaming.checkpointLocation``, a folder per query name)."""
+    writer = df.writeStream.format(fmt).outputMode("append")
+    if checkpoint is not None:
+        writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if query_name:
@@ -113,6 +133,7 @@ def start_medallion(
     gold_state_partitions: int | None = None,
     date_partitions: bool = False,
     state_store: str | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> dict[str, StreamingQuery]:
     """Start (and for ``availableNow``, run to completion) the three layers.
 
@@ -131,6 +152,9 @@ def start_medallion(
     executors' local disks (with changelog checkpointing) instead of the JVM
     heap; like the width, the provider is fixed at the first start.
 
+    ``max_files_per_trigger`` bounds the micro-batches of the inner hops, so
+    that silver and gold work off a backlog in pieces after an outage.
+
     ``date_partitions`` adds an ``event_date`` column and partitions bronze
     and silver by date, then zone. Five zone folders alone cannot prune a
     date-range read of a large table; with dates, backfills and batch reads
@@ -138,7 +162,11 @@ def start_medallion(
     to the default (NULL) date partition.
     """
     if min_batches_to_retain is not None:
-        spark.conf.set("spark.sql.streaming.minBatchesToRetain", str(min_batches_to_retain))
+        with _settings(spark, {"spark.sql.streaming.minBatchesToRetain": str(min_batches_to_retain)}):
+            return start_medallion(
+                spark, envelope, paths, mode, trigger, fmt, bronze_clock, silver_clock, window, watermark, None,
+                gold_state_partitions, date_partitions, state_store, max_files_per_trigger,
+            )
     sequential = trigger in ("availableNow", "once")
     started: dict[str, StreamingQuery] = {}
 
@@ -157,17 +185,8 @@ def start_medallion(
             settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
         elif state_store is not None:
             raise ValueError(f"unknown state store {state_store!r}")
-        previous = {key: spark.conf.get(key, None) for key in settings}
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        try:
+        with _settings(spark, settings):
             start("gold", df, None)
-        finally:
-            for key, value in previous.items():
-                if value is None:
-                    spark.conf.unset(key)
-                else:
-                    spark.conf.set(key, value)
 
     layout = ["event_date", "grid_zone"] if date_partitions else ["grid_zone"]
     bronze = readings.parse_envelope(envelope, bronze_clock)
@@ -183,17 +202,72 @@ def start_medallion(
         raise ValueError(f"unknown mode {mode!r}")
     start("bronze", bronze, layout)
     extra = [T.StructField("event_date", T.DateType())] if date_partitions else []
-    bronze_in = read_layer_stream(spark, paths.table("bronze"), T.StructType(BRONZE_SCHEMA.fields + extra), fmt)
+    bronze_in = read_layer_stream(spark, paths.table("bronze"), T.StructType(BRONZE_SCHEMA.fields + extra), fmt, max_files_per_trigger)
     start("silver", readings.silver(bronze_in, silver_clock), layout)
-    silver_in = read_layer_stream(spark, paths.table("silver"), T.StructType(SILVER_SCHEMA.fields + extra), fmt)
+    silver_in = read_layer_stream(spark, paths.table("silver"), T.StructType(SILVER_SCHEMA.fields + extra), fmt, max_files_per_trigger)
     start_gold(windows.gold(silver_in, window, watermark))
     return started
 
 
-def run_bounded(spark: SparkSession, timeout_sec: float) -> None:
-    """Wait for any active query to end or for the timeout, then stop all."""
+def run_bounded(queries: dict[str, StreamingQuery], timeout_sec: float) -> None:
+    """Wait for one of the started queries to end or for the timeout, then stop
+    them; other queries of the session go on."""
+    end = time.monotonic() + timeout_sec
     try:
-        spark.streams.awaitAnyTermination(timeout_sec)
+        while time.monotonic() < end and all(q.isActive for q in queries.values()):
+            next(iter(queries.values())).awaitTermination(min(1.0, max(0.0, end - time.monotonic())))
     finally:
-        for q in spark.streams.active:
+        for q in queries.values():
             q.stop()
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that a query reads as it starts, put back afterwards."""
+    with _SETTINGS_LOCK:  # concurrent starts must not see each other's settings
+        previous = {key: spark.conf.get(key, None) for key in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in previous.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
+
+
+_SETTINGS_LOCK = threading.RLock()
+
+
+def publish_alerts(readings_stream: DataFrame, path: str, checkpoint: str | None = None, brokers: str | None = None,
+                   topic: str = ALERTS_TOPIC, trigger: str | None = "availableNow", log_time: Column | None = None) -> StreamingQuery:
+    """Alerts of a stream of readings as keyed messages on their own topic: to the
+    log with ``brokers`` (needs the connector), else as envelope files."""
+    messages = readings.alert_log_messages(readings_stream, keep=["event_timestamp"])
+    if brokers:
+        writer = messages.select("key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic)
+        if checkpoint is not None:
+            writer = writer.option("checkpointLocation", checkpoint)
+        return _with_trigger(writer, trigger).start()
+    stamp = log_time if log_time is not None else F.current_timestamp()
+    return write_stream(envelope_from_messages(messages, stamp, topic), path, checkpoint, trigger=trigger)
+
+
+def update_meter_hours(silver: DataFrame, path: str, checkpoint: str | None = None, trigger: str | None = "availableNow") -> StreamingQuery:
+    """Keep the meter x hour totals: each micro-batch of new silver rows adds its
+    partial rows in a folder of its own. A batch that is run again replaces its
+    folder, so each reading counts once. Read with ``read_meter_hours``."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        marts.meter_hour_parts(batch).write.mode("overwrite").parquet(f"{path}/delivery={number}")
+
+    writer = silver.writeStream.foreachBatch(add)
+    if checkpoint is not None:
+        writer = writer.option("checkpointLocation", checkpoint)
+    return _with_trigger(writer, trigger).start()
+
+
+def read_meter_hours(spark: SparkSession, path: str) -> DataFrame:
+    return marts.merged_meter_hours(spark.read.parquet(path).drop("delivery"))

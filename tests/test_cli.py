@@ -5,11 +5,12 @@ from __future__ import annotations
 from meterlake.__main__ import main
 from meterlake.plans import registry
 from meterlake.sources.fixtures import meter_readings
+from meterlake.sinks.publish import write_envelope_files
 from tests.conftest import SF_SMALL
 
 
 def test_stream_models_and_load_commands(spark, tmp_dir, capsys):
-    log = registry._write_log(spark, meter_readings(spark, SF_SMALL, "dense"))
+    log = write_envelope_files(registry.envelope_log(meter_readings(spark, SF_SMALL, "dense")), f"{tmp_dir}/log")
     assert main(["stream", "--log-dir", log, "--out", f"{tmp_dir}/layers"]) == 0
     out = capsys.readouterr().out
     assert "bronze" in out and "window_start" in out

@@ -40,10 +40,11 @@ def test_preview_is_a_top_k_not_a_sort(spark, capsys):
     assert "TakeOrderedAndProject" in _plan(registry.gold_preview(spark, SF_SMALL), capsys)
 
 
-def test_state_zone_join_broadcasts_the_bounded_side(spark, capsys):
+def test_state_zone_join_sees_one_row_per_hour_and_zone(spark, capsys):
     m = registry.models(spark, SF_SMALL)
-    plan = _plan(reports.zone_hour_rank(m.fact, m.dim_grid_zones), capsys)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    plan = _optimized(reports.zone_hour_rank(m.fact, m.dim_grid_zones), capsys)
+    join = plan.index("Join Inner")
+    assert "Aggregate [consumption_hour" in plan[join:] and "ResolvedHint" not in plan
 
 
 def test_native_time_filter_reaches_the_scan(spark, capsys):
@@ -83,15 +84,23 @@ def test_upsert_prunes_untouched_partitions_at_run_time(spark, tmp_dir, capsys):
 def test_state_filter_reaches_a_stored_fact_scan(spark, tmp_dir, capsys):
     m = registry.models(spark, SF_SMALL)
     m.fact.write.parquet(f"{tmp_dir}/fact")
-    plan = _plan(reports.zone_hour_rank(spark.read.parquet(f"{tmp_dir}/fact"), m.dim_grid_zones), capsys)
+    plan = _plan(reports.zone_hour_rank(spark.read.parquet(f"{tmp_dir}/fact"), m.dim_grid_zones, built_in_states=True), capsys)
     assert "PushedFilters: [In(grid_zone, [NRW-North,NRW-South])" in plan
 
 
-def test_accepted_values_check_prunes_zone_partitions(spark, tmp_dir, capsys):
-    from meterlake.operators import quality
+def _scans(plan: str) -> int:
+    return plan.count("FileScan parquet")
 
-    silver = readings.silver(registry._bronze(spark, SF_SMALL), registry._silver_clock)
-    silver.write.partitionBy("grid_zone").parquet(f"{tmp_dir}/silver")
-    check = quality.Check("meter_readings", "grid_zone", "accepted_values", quality.ZONES)
-    plan = _plan(quality.evaluate({"meter_readings": spark.read.parquet(f"{tmp_dir}/silver")}, [check]), capsys)
-    assert "PartitionFilters: [isnotnull(grid_zone" in plan and "NOT grid_zone" in plan
+
+def test_the_source_suite_reads_its_table_once(spark, capsys):
+    assert _scans(_plan(registry.dq_source_suite(spark, SF_SMALL), capsys)) == 1
+
+
+def test_the_mart_suite_reads_the_readings_no_more(spark, capsys):
+    plan = _plan(registry.dq_mart_suite(spark, SF_SMALL), capsys)
+    # The fact twice (one fold, one unique check), each dimension once.
+    assert _scans(plan) == 5 and "events.parquet" not in plan
+
+
+def test_the_star_join_reads_the_readings_no_more(spark, capsys):
+    assert "events.parquet" not in _plan(registry.star_join(spark, SF_SMALL), capsys)

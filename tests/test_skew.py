@@ -80,7 +80,7 @@ def test_salted_join_spreads_a_hot_key_and_equals_the_plain_join(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        salted = skew_safe_join(hot, dims, "meter_id", hot_rows=100, buckets=16)
+        salted = skew_safe_join(hot, dims, "meter_id")
         parts = (
             salted.where(F.col("meter_id") == "METER-HOT")
             .select(F.spark_partition_id().alias("p")).distinct().count()
@@ -95,3 +95,24 @@ def test_salted_join_spreads_a_hot_key_and_equals_the_plain_join(spark):
     assert parts > 1  # the hot key no longer sits in a single join task
     n_hot = hot.where(F.col("meter_id") == "METER-HOT").count()
     assert n_hot * 4 > hot.count()
+
+
+def test_hot_keys_are_those_beyond_the_mean_share(spark):
+    from meterlake.operators.joins import hot_keys, skew_safe_join
+
+    rows = [("hot",)] * 300 + [("warm",)] * 60 + [(f"k{i}",) for i in range(240)] + [(None,)] * 500
+    df = spark.createDataFrame(rows, "k string")
+    # 600 rows with a key over 10 tasks: the mean share is 60, hot is beyond 120.
+    assert hot_keys(df, "k", tasks=10) == {"hot": 5}
+    assert hot_keys(df.limit(0), "k", tasks=10) == {}
+    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), (None, 4)], "k string, v int")
+    for how in ("inner", "left"):
+        a, b = skew_safe_join(df, small, "k", how, tasks=10), df.join(small, "k", how)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_the_number_of_hot_keys_is_bounded_at_any_size(spark):
+    from meterlake.operators.joins import hot_keys
+
+    every = spark.range(4000).selectExpr("cast(id % 20 as string) AS k")
+    assert len(hot_keys(every, "k", tasks=8)) <= 4

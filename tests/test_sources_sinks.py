@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import readings, windows
 from meterlake.plans import registry
-from meterlake.sinks.publish import publish_messages
+from meterlake.sinks.publish import publish_messages, write_envelope_files
 from meterlake.sources.fixtures import meter_readings
 from meterlake.sources.log import read_envelope_files
 from meterlake.sources.tables import read_parquet_dir, source_table
@@ -49,7 +49,7 @@ def test_publish_then_replay_round_trips(spark, tmp_dir):
 
 
 def test_stream_output_equals_batch_closed_form(spark, tmp_dir):
-    log = registry._write_log(spark, meter_readings(spark, SF_SMALL, "dense"))
+    log = write_envelope_files(registry.envelope_log(meter_readings(spark, SF_SMALL, "dense")), f"{tmp_dir}/log")
     paths = layers.LayerPaths(f"{tmp_dir}/m")
     layers.start_medallion(spark, read_envelope_files(spark, log), paths)
     streamed = spark.read.parquet(paths.table("gold"))

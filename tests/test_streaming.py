@@ -169,8 +169,11 @@ def test_live_layers_run_concurrently_then_stop(spark, tmp_dir):
         assert all(q.isActive for q in started.values())
         for name in ("bronze", "silver", "gold"):
             started[name].processAllAvailable()
-        layers.run_bounded(spark, 0.5)
-        assert not spark.streams.active
+        other = spark.readStream.format("rate").load().writeStream.format("noop").start()
+        layers.run_bounded(started, 0.5)
+        assert not any(q.isActive for q in started.values())
+        assert other.isActive  # a query of someone else in the session goes on
+        other.stop()
         assert spark.read.parquet(paths.table("silver")).count() == 8
 
 
