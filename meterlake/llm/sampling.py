@@ -24,7 +24,7 @@ def sample_per_label(df: DataFrame, label: str, id_col: str, rows: int) -> DataF
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect() if r[label] is not None}
     keep = F.lit(False)
     for value, n in counts.items():
-        share = min(1.0, rows / n)
-        small = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)
+        # Of 63 hash bits: fine enough for a share of a few rows in any table.
+        small = F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 1) <= min((1 << 63) - 1, (1 << 63) * rows // n)
         keep = keep | ((F.col(label) == F.lit(value)) & small)
     return df.where(keep)

@@ -101,3 +101,9 @@ def test_sample_takes_about_so_many_rows_of_each_label(spark):
     df = spark.range(4000).selectExpr("id", "if(id < 3900, 'a', 'b') AS label")
     got = Counter(r.label for r in sample_per_label(df, "label", "id", 400).collect())
     assert 300 < got["a"] < 500 and got["b"] == 100
+
+
+def test_sample_of_a_table_much_larger_than_it(spark):
+    """The share may be far below one in a million: the threshold is not rounded to nothing."""
+    df = spark.range(3_000_000).selectExpr("id", "'a' AS label")
+    assert 0 < sample_per_label(df, "label", "id", 2).count() < 12
