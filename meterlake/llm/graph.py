@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,18 @@ from meterlake.config import shared_dir
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: cuts the lineage."""
-    path = shared_dir(df.sparkSession, "llm", name)
+    """The rows written to the shared folder and read again: cuts the lineage.
+
+    Then the driver's garbage is collected: only that lets Spark remove the
+    shuffle files of the steps before, which nothing reads any more.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = shared_dir(spark, "llm", name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -228,22 +228,42 @@ def _light_rows(out: list[tuple]) -> pa.RecordBatch:
 # --- heavy sets ------------------------------------------------------------------------
 
 
-def _postings(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Lists with more than one class: key, rep, n, pos, hub (smallest rep of the
-    list, or of its part where the list is long)."""
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """Lists with more than one class: key, rep, n, pos, and hub, hub_n, hub_pos
+    of the smallest rep in the list, or in its part where the list is long.
+
+    Rows are shuffled once and kept narrow: n and pos share a word, and only
+    the keys of long lists travel beside the list they are dealt to."""
     classes = prefixes.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys"))
     posted = classes.select("rep", "n", F.posexplode("keys").alias("pos", "key"))
-    expected = F.expr(f"shiftright(shiftleft(1L, cast(shiftright(key, 56) as int)), {LIST_ROWS.bit_length() - 1})")
-    parts = F.greatest(F.lit(1).cast("bigint"), expected)
-    posted = posted.withColumns({"parts": parts, "salt": F.pmod(F.xxhash64("rep"), parts)})
-    whole = Window.partitionBy("key", "salt")
-    met = posted.withColumns({"hub": F.min("rep").over(whole), "met": F.count("*").over(whole)})
-    return met.where("met > 1 OR parts > 1").select("key", "rep", "n", "pos", "hub")
+    parts = F.expr(f"shiftright(shiftleft(1L, cast(shiftright(key, 56) as int)), {LIST_ROWS.bit_length() - 1})")
+    rows = posted.select(
+        F.when(parts > 1, F.xxhash64("key", F.pmod(F.xxhash64("rep"), parts))).otherwise(F.col("key")).alias("list"),
+        F.when(parts > 1, F.col("key")).alias("long"),
+        F.struct("rep", F.expr("shiftleft(cast(n as bigint), 32) + pos").alias("at")).alias("m"),
+    ).select("list", "long", "m.rep", "m.at")
+    whole = Window.partitionBy("list")
+    met = rows.withColumns({"hub": F.min(F.struct("rep", "at")).over(whole), "met": F.count("*").over(whole)})
+    unpack = lambda at: (F.shiftright(at, 32).cast("int"), at.bitwiseAND(0xFFFFFFFF).cast("int"))
+    (n, pos), (hub_n, hub_pos) = unpack(F.col("at")), unpack(F.col("hub.at"))
+    return met.where("met > 1 OR long IS NOT NULL").select(
+        F.coalesce("long", "list").alias("key"), "rep", n.alias("n"), pos.alias("pos"),
+        F.col("hub.rep").alias("hub"), hub_n.alias("hub_n"), hub_pos.alias("hub_pos"),
+    )
+
+
+def _may_be_similar(na: Column, nb: Column, pos_a: Column, pos_b: Column, percent: int) -> Column:
+    """By the sizes, and for the first shingle that both share by its places:
+    enough shingles must be left in both orders."""
+    overlap = _overlap(na, nb, percent)
+    sized = (100 * na >= percent * nb) & (100 * nb >= percent * na)
+    return sized & (pos_a <= na - overlap) & (pos_b <= nb - overlap)
 
 
 def _first_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """One pair per class: with the hub that it meets most often."""
-    met = postings.where("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("k"))
+    """One pair per class: with the hub that it meets most often where they may be similar."""
+    fits = _may_be_similar(F.col("n"), F.col("hub_n"), F.col("pos"), F.col("hub_pos"), percent)
+    met = postings.where((F.col("rep") != F.col("hub")) & fits).groupBy("rep", "hub").agg(F.count("*").alias("k"))
     return met.groupBy("rep").agg(F.max_by("hub", F.struct(F.col("k"), -F.col("hub"))).alias("hub")).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
 
 
@@ -256,10 +276,9 @@ def _open_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFra
     x, y = (rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "pos", "label")]) for s in ("a", "b"))
     na, nb = F.col("n_a"), F.col("n_b")
     overlap = _overlap(na, nb, percent)
-    sized = (F.col("label_a") != F.col("label_b")) & ((na < nb) | ((na == nb) & (F.col("rep_a") < F.col("rep_b")))) & (100 * na >= percent * nb)
-    # The first shingle that a similar pair shares stands early in both orders.
-    early = (F.col("pos_a") <= na - overlap) & (F.col("pos_b") <= nb - overlap)
-    met = x.join(y, "key").where(sized & early).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    apart = (F.col("label_a") != F.col("label_b")) & ((na < nb) | ((na == nb) & (F.col("rep_a") < F.col("rep_b"))))
+    fits = _may_be_similar(na, nb, F.col("pos_a"), F.col("pos_b"), percent)
+    met = x.join(y, "key").where(apart & fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     # Of its required overlap a similar pair shares at least this many shingles in both prefixes.
     sizes = rows.select("rep", "n").distinct()
     met = met.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b")
@@ -273,10 +292,9 @@ def _open_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFra
 # --- verification ------------------------------------------------------------------------
 
 
-def _id_filter(ids: DataFrame):
+def _id_filter(ids: DataFrame, n: int):
     """A broadcast bitmap of hashed ids, at most 2**FILTER_BITS bits (8 MB): it
     spares making sets of other documents; the join after it is exact."""
-    n = ids.count()
     bits = int(min(FILTER_BITS, max(16, np.ceil(np.log2(16 * n + 1)))))
     spot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
 
@@ -297,7 +315,10 @@ def _verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     """The pairs whose whole sets are similar."""
     pairs = stored(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    bitmap, spot = _id_filter(ids)
+    n = ids.count()
+    if not n:
+        return pairs
+    bitmap, spot = _id_filter(ids, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,22 +366,35 @@ def join_components(
     named = rows.where(F.col("doc_id").isNotNull())
     order = _frequency_classes(found, sketch_bits)
     prefixes = _ordered_prefixes(named, order, size, sketch_bits, least_posted(boundary, percent), percent)
-    postings = stored(_postings(prefixes, percent), "postings")
-    links = stored(links.union(_verified(named, _first_pairs(postings, percent), size, percent)), "links")
+    postings = stored(_postings(prefixes), "postings")
+    links = links.union(_same_id_links(real, classes)).union(_verified(named, _first_pairs(postings, percent), size, percent))
+    links = stored(links, "links")
     labels = components(links)
     late = _verified(named, _open_pairs(postings, labels, percent), size, percent)
     labels = _relabelled(labels, late)
 
     return (
-        documents.select("doc_id", "n", "d1", "d2")
-        .join(classes.select(F.col("n").alias("cn"), F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep"),
-              (F.col("n") == F.col("cn")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
+        _with_class(documents, classes)
         .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("node"))
         .join(labels, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("label", "node").alias("component_id"))
     )
 
 
+def _with_class(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    mine = classes.select(F.col("n").alias("cn"), F.col("d1").alias("c1"), F.col("d2").alias("c2"), "rep")
+    same = (F.col("n") == F.col("cn")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))
+    return documents.select("doc_id", "n", "d1", "d2").join(mine, same, "left")
+
+
+def _same_id_links(real: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of a doc_id that several rows with different texts have."""
+    twice = real.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    again = _with_class(real.join(twice, "doc_id", "left_semi"), classes)
+    hubs = again.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most").select("doc_id", "b")
+    return again.join(hubs, "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
+
+
 def _relabelled(labels: DataFrame, late: DataFrame) -> DataFrame:
     """Labels after the late links: components of components."""
     late = stored(late, "late")
