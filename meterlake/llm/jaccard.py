@@ -161,8 +161,9 @@ def _frequency_classes(found: DataFrame, bits: int) -> np.ndarray:
     step = (1 << bits) // SKETCH_PARTS
     for row in parts:
         total[row["part"] * step : (row["part"] + 1) * step] = np.frombuffer(bytes(row["counts"]), np.uint64)
-    mean = float(total.mean())
-    excess = np.maximum(1.0, total.astype(float) - mean - 3 * np.sqrt(mean))
+    # A counter holds its rare shingles by about the mean; what is beyond it is
+    # one that occurs often. (Rare ones are ordered by noise, which does no harm.)
+    excess = np.maximum(1.0, total.astype(float) - float(total.mean()))
     return np.floor(np.log2(excess)).astype(np.uint8)
 
 
