@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.text import Texts, codes_of, pair_codes, segment_sums, text_chunks
+from meterlake.llm.text import SMALL_CHUNK_BYTES, Texts, codes_of, pair_codes, segment_sums, text_chunks
 from meterlake.llm.tokens import id_and_text
 
 SYMBOLS = "#*$%&|<>"
@@ -228,7 +228,7 @@ def judge(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rule
     order = choose_order(df, text_col, id_col, tuple(r for r in rules if r not in BASE_RULES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_chunks(batches, 1):
+        for rows, texts in text_chunks(batches, 1, SMALL_CHUNK_BYTES):
             m = Measures(texts)
             failed = np.zeros(len(texts), bool)
             for rule in BASE_RULES:
@@ -251,7 +251,7 @@ def keep_good(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_chunks(batches, at):
+        for rows, texts in text_chunks(batches, at, SMALL_CHUNK_BYTES):
             yield rows.filter(pa.array(cascade(_layout(rows, at), len(texts), order)))
 
     return df.mapInArrow(run, df.schema)

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 
 # Text handled at once inside a task; a longer single text is one chunk.
 CHUNK_BYTES = 4 << 20
+# For operators that gain little from larger chunks: half the working memory.
+SMALL_CHUNK_BYTES = 2 << 20
 
 _ASCII_SPACE = np.zeros(256, bool)
 _ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True

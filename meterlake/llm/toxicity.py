@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.sampling import held_out, sample_per_label
-from meterlake.llm.text import Texts, codes_of, ragged, subword_hashes, text_chunks
+from meterlake.llm.text import SMALL_CHUNK_BYTES, Texts, codes_of, ragged, subword_hashes, text_chunks
 
 DIMENSIONS = 4
 BUCKETS = 1 << 16
@@ -49,11 +49,11 @@ def words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     ends = starts + lengths
     inside = _WORD_BYTE[texts.data[: texts.size]]
     n = texts.size
-    at = np.arange(n)
-    following = np.minimum.accumulate(np.where(inside, at, n)[::-1])[::-1]
-    before = np.maximum.accumulate(np.where(inside, at, -1))
-    starts = following[starts]
-    last = before[ends - 1] + 1
+    at = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
+    following = np.minimum.accumulate(np.where(inside, at, at.dtype.type(n))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(inside, at, at.dtype.type(-1)))
+    starts = following[starts].astype(np.int64)
+    last = before[ends - 1].astype(np.int64) + 1
     whole = starts < last
     return starts[whole], (last - starts)[whole]
 
@@ -266,7 +266,7 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.get()
-        for rows, _ in text_chunks(batches, 2):
+        for rows, _ in text_chunks(batches, 2, SMALL_CHUNK_BYTES):
             p = own.scores(Texts(pc.utf8_lower(rows.column(2))))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": rows.column(0), "held_out": rows.column(1),
@@ -284,7 +284,7 @@ def keep_clean(df: DataFrame, model: Model, *, text_col: str = "text", threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.get()
-        for rows, _ in text_chunks(batches, at):
+        for rows, _ in text_chunks(batches, at, SMALL_CHUNK_BYTES):
             p = own.scores(Texts(pc.utf8_lower(rows.column(at))))
             yield rows.filter(pa.array(p < threshold))
 
