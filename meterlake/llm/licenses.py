@@ -2,10 +2,11 @@
 
 Only DataFrame expressions run. A file's units are its lines (headers) and its
 whole text (a licence file). A unit's terms are weighted by their count times
-their inverse document frequency over all files; its cosine to each template
-is a sum over its terms, so templates are columns of one aggregate. A file
-without a notice of its own takes the licence of the nearest directory above
-it that holds a licence file, by joins on directory paths.
+their inverse document frequency over all files (for whole texts see
+:func:`scan`); its cosine to each template is a sum over its terms, so
+templates are columns of one aggregate. A file without a
+notice of its own takes the licence of the nearest directory above it that
+holds a licence file, by joins on directory paths.
 
 Only units that could reach the threshold are taken apart: a template's
 heaviest terms are its anchors, chosen so that a unit without any of them
@@ -92,6 +93,12 @@ def scan(
 ) -> DataFrame:
     """The licence of every file, and where it comes from.
 
+    In a line every term weighs by its document frequency over all files, so a
+    notice among common words is found on a table of any size. In a whole text
+    a term of no template weighs as if no other file had it, which keeps short
+    prose with a notice line from counting as a licence file. :func:`scan_sql`
+    does the latter in lines too: the two agree on lines of template terms only.
+
     Returns doc_id, path, license, via (``file``: the whole text is a licence;
     ``header``: its best line; ``inherited``; null without licence), score (the
     cosine of that evidence, 6 digits) and from_directory (of an inherited one).
@@ -142,14 +149,16 @@ def _weighted(rows: DataFrame, idf: dict[str, float], vectors: list[dict[str, fl
     units = near.select("doc_id", "path", F.inline(F.concat(F.array(whole), lines))).select("doc_id", "path", "unit", terms(F.col("body")).alias("words"))
     units = units.where(F.arrays_overlap("words", anchor))
     counted = units.select("doc_id", "path", "unit", F.explode("words").alias("term")).groupBy("doc_id", "path", "unit", "term").agg(F.count("*").alias("tf"))
+    # Files by term, over the whole corpus: counted by partial aggregates, joined by term as a shuffle.
+    spread = rows.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    df = F.when(F.col("unit") == WHOLE, 0).otherwise(F.coalesce("df", F.lit(0)))  # in a whole text as if no other file had it
     # One row per template term: a fixed table of a few hundred rows.
     table = rows.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(t).alias("term"), F.lit(idf[t]).alias("idf"), *[F.lit(v.get(t, 0.0)).alias(f"w{k}") for k, v in enumerate(vectors)])
         for t in sorted(idf)
     ])))
-    unknown = math.log(n + 1) + 1  # of a term that is in no template: as if no other file had it
-    weight = F.col("tf") * F.coalesce("idf", F.lit(unknown))
-    return counted.join(F.broadcast(table), "term", "left").groupBy("doc_id", "path", "unit").agg(
+    weight = F.col("tf") * F.coalesce("idf", F.log(F.lit(n + 1.0) / (df + 1)) + 1)
+    return counted.join(spread, "term", "left").join(F.broadcast(table), "term", "left").groupBy("doc_id", "path", "unit").agg(
         F.sum(weight * weight).alias("norm"),
         *[F.sum(F.coalesce(weight * F.col(f"w{k}"), F.lit(0.0))).alias(f"dot{k}") for k in range(len(vectors))],
     )

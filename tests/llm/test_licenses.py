@@ -92,6 +92,23 @@ def test_against_brute_force(files):
     assert by_id[5][2:4] == ("GPL-3.0", "inherited") and by_id[11][2:4] == ("Apache-2.0", "inherited")
 
 
+@pytest.mark.parametrize("others", [20, 2000])
+def test_common_words_beside_a_notice_do_not_hide_it(spark, others):
+    """Words of no template weigh by their real share, so a header is found on a table of any size."""
+    common = "copyright 2020 example corp see the version 2.0 under this license"
+    notice = "// Copyright 2020 Example Corp. Licensed under the Apache License, Version 2.0"
+    prose = " ".join(f"rare{k}" for k in range(60))
+    texts = [(i, f"d{i}/x", common if i else f"{prose}\n{notice}") for i in range(others + 1)]
+    got = licenses.scan(spark.createDataFrame(texts, "doc_id long, path string, text string"))
+    rows = {r.doc_id: r for r in got.where("license is not null").collect()}
+    seen = [set(licenses._terms(t.replace("//", ""))) for _, _, t in texts]
+    idf = lambda t: math.log((others + 2) / (sum(t in s for s in seen) + 1)) + 1
+    line, wanted = Counter(licenses._terms(notice)), Counter(licenses._terms(licenses.TEMPLATES[0][1]))
+    dot, *norms = (sum(a[t] * b[t] * idf(t) ** 2 for t in a) for a, b in ((line, wanted), (line, line), (wanted, wanted)))
+    assert {i: (r.license, r.via) for i, r in rows.items()} == {0: ("Apache-2.0", "header")}
+    assert rows[0].score == pytest.approx(dot / math.sqrt(norms[0] * norms[1]), abs=2e-6)
+
+
 def test_empty_table(files):
     assert licenses.scan(files.limit(0)).collect() == []
 
