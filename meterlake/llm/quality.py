@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.bpe import LETTER, class_table
 from meterlake.llm.text import SMALL_CHUNK_BYTES, Texts, codes_of, pair_codes, segment_sums, text_chunks
 from meterlake.llm.tokens import id_and_text
 
@@ -74,6 +75,17 @@ class Measures:
         body = self.texts.data[: self.texts.size]
         return self._byte_count((body >= 0x61) & (body <= 0x7A))
 
+    def _take_n_letters(self):
+        """Letters of any script. Those beyond ASCII are counted only where
+        capitals prevail among the ASCII ones; elsewhere they change no verdict."""
+        n = self.n_upper + self.n_lower
+        for i in np.flatnonzero(2 * self.n_upper > n).tolist():
+            body = self.texts.text_bytes(i)
+            if not body.isascii():
+                cps = np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+                n[i] += np.count_nonzero(class_table()[cps[cps >= 0x80]] == LETTER)
+        return n
+
     def _take_lines(self):
         """Documents and codes of the lines that hold a word."""
         texts = self.texts
@@ -142,7 +154,7 @@ def many_symbols(m: Measures) -> np.ndarray:
 
 
 def mostly_capitals(m: Measures) -> np.ndarray:
-    return 100 * m.n_upper > 50 * (m.n_upper + m.n_lower)
+    return 100 * m.n_upper > 50 * m.n_letters
 
 
 def duplicate_lines(m: Measures) -> np.ndarray:
@@ -260,6 +272,7 @@ def keep_good(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 # --- the same by SQL -----------------------------------------------------------------
 
 # DuckDB; windows are counted by their words, positions by the windows over them.
+# Capitals are compared with ASCII letters only, where RULES take those of any script.
 JUDGE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,

@@ -51,3 +51,19 @@ def test_verdict_does_not_depend_on_the_order(edge_documents):
     a = quality.keep_good(edge_documents, rules=quality.RULES)
     b = quality.keep_good(edge_documents, rules=quality.RULES[::-1])
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_an_acronym_in_another_script_is_not_mostly_capitals(spark):
+    scripts = {
+        "Cyrillic": "съешь ещё этих мягких французских булок да выпей же чаю потом снова",
+        "Greek": "ξεσκεπάζω την ψυχοφθόρα βδελυγμία και πάλι από την αρχή μέχρι το τέλος",
+        "Arabic": "نص حكيم له سر قاطع وذو شأن عظيم مكتوب على ثوب أخضر ومغلف",
+        "Hindi": "ऋषियों को सताने वाले दुष्ट राक्षसों के राजा का सर्वनाश करने वाले विष्णु",
+        "Korean": "키스의 고유 조건은 입술끼리 만나야 하고 특별한 기술은 필요치 않다 라고 한다",
+        "one word": "",
+    }
+    rows = [(k, f"{text} DNA") for k, text in enumerate(scripts.values())]
+    rows += [(10, "THE SAME LETTERS OVER THERE ARE CAPITALS IN ALL WORDS É È"), (11, "ABCDEFGH IJKLMNOP QRST UVWX Ω A B C D E F G 😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in quality.judge(df).collect() if r.kept) == [0, 1, 2, 3, 4]
+    assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == [0, 1, 2, 3, 4]
