@@ -28,8 +28,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component the document with the smallest id."""
-    return jaccard.keep_first(docs)
+    """Of each near-duplicate component one row of the document with the smallest id."""
+    return jaccard.keep_first(docs, one_row=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -410,9 +410,24 @@ def _relabelled(labels: DataFrame, late: DataFrame) -> DataFrame:
     return old.unionByName(merged.join(labels.select("node"), "node", "left_anti").select("node", "label"))
 
 
-def keep_first(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", one_row: bool = False) -> DataFrame:
     """The rows of ``df`` whose document is its component's smallest id, with all
-    their columns; documents with a null id stay."""
+    their columns; documents with a null id stay.
+
+    Several rows of that id all stay; with ``one_row`` one of them does, the one
+    with the smallest hash of its columns.
+    """
     found = join_components(df, id_col=id_col, text_col=text_col)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return df.join(gone, df[id_col].cast("bigint") == gone["__gone"], "left_anti")
+    left = df.join(gone, df[id_col].cast("bigint") == gone["__gone"], "left_anti")
+    if not one_row:
+        return left
+    key = F.col(id_col).cast("bigint")
+    twice = df.groupBy(key.alias("__twice")).agg(F.count("*").alias("__rows")).where("__rows > 1 and __twice is not null").select("__twice")
+    twice = stored(twice, "repeated")
+    if not twice.limit(1).count():
+        return left
+    again = left.join(twice, key == F.col("__twice"), "left_semi")
+    # The partial aggregate leaves one row per id and task, however often a row occurs.
+    picked = again.groupBy(key.alias("__key")).agg(F.min_by(F.struct(*df.columns), F.xxhash64(*df.columns)).alias("__row"))
+    return left.join(twice, key == F.col("__twice"), "left_anti").unionByName(picked.select("__row.*"))

@@ -122,6 +122,18 @@ def test_keep_first_keeps_one_of_each_component(clashing):
     assert sorted(map(str, kept.collect())) == sorted(map(str, wanted))
 
 
+def test_pipeline_keeps_one_row_of_a_repeated_document(spark):
+    import corpus_pipeline
+
+    text = "one text of a document that occurs in very many rows of the table"
+    rows = [(5, text, "en", k % 2) for k in range(1000)] + [(9, text, "en", 0), (7, "quite another text that only occurs in a single row here", "fr", 1)]
+    rows += [(8, "an id with two texts, of which this is the first one", "de", 2), (8, "wholly different words under this very same number", "de", 3), (None, text, "en", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n int").repartition(4)
+    kept = corpus_pipeline.one_per_group(spark, docs, "")
+    assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["5", "7", "8", "None"]
+
+
 def test_boundary_weighs_subsets_against_postings():
     assert jaccard.subsets_listed(8, 20) == sum(comb(8, c) for c in (6, 7, 7, 8, 8))
     assert jaccard.boundary_by_cost({}) == 0
