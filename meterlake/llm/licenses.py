@@ -103,6 +103,9 @@ def scan(
     ``header``: its best line; ``inherited``; null without licence), score (the
     cosine of that evidence, 6 digits) and from_directory (of an inherited one).
 
+    Reserved-rights notices ("All rights reserved.") have no template and are not
+    reported: such a file looks like one without any notice.
+
     Defined cases: null and empty texts have no notice of their own and may
     inherit; a null path lies in the root directory; rows that repeat an id and
     path are one file whose texts are pooled; ties go to the smaller licence
