@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterlake.llm import jaccard, language, licenses, packing, quality, tokens, topk, toxicity, urls
+from meterlake.llm import jaccard, language, licenses, negatives, packing, quality, runs, simhash, tokens, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,19 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.documents_as_files(_table(spark, sf_dir, "documents")))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.find_runs(_table(spark, sf_dir, "documents"), rearrange=runs.periodic_tail))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_url_filters": op2_url_filters,
@@ -73,10 +87,14 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_license_scans": op10_license_scans,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.TOP_K_SQL,
     "op8_quality_rules": quality.JUDGE_SQL,
     "op10_license_scans": licenses.scan_sql(),
+    "op12_hard_negatives": negatives.HARD_NEGATIVES_SQL,
 }
