@@ -175,3 +175,55 @@ def merged_meter_hours(parts: DataFrame) -> DataFrame:
         F.min("first_reading_at").alias("first_reading_at"),
         F.max("last_reading_at").alias("last_reading_at"),
     )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One mergeable row per meter, zone, type and hour from those of several deliveries."""
+    keys = ["meter_id", "grid_zone", "meter_type", "consumption_hour"]
+    add = [F.sum(c).alias(c) for c in ("total_kwh", "kwh_count", "reading_count", "anomaly_count")]
+    return parts.groupBy(*keys).agg(
+        *add, F.max("max_kwh").alias("max_kwh"), F.min("first_reading_at").alias("first_reading_at"),
+        F.max("last_reading_at").alias("last_reading_at"),
+    ).select(*[c for c in parts.columns if c in keys or c in _PART_VALUES])
+
+
+_PART_VALUES = ("total_kwh", "kwh_count", "max_kwh", "reading_count", "anomaly_count", "first_reading_at", "last_reading_at")
+
+
+# --- dimensions that grow by deliveries ------------------------------------------------
+# A dimension merges with that of a new delivery; nothing older is read again. For
+# the distinct meters of a zone every meter has a number (from 1, without gaps), and
+# a zone keeps one bit per meter: 4 KB for each 32,768 meters.
+
+
+def merged_dim_meters(parts: DataFrame) -> DataFrame:
+    """``dim_meters`` rows (with ``meter_number``) of several deliveries, merged."""
+    return parts.groupBy("meter_id").agg(
+        F.min("grid_zone").alias("grid_zone"),
+        F.min("meter_type").alias("meter_type"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+        F.sum("total_readings").alias("total_readings"),
+        F.max("meter_number").alias("meter_number"),
+    )
+
+
+def zone_bitmaps(zone_meters: DataFrame) -> DataFrame:
+    """Per zone and bucket of meter numbers a bitmap of the meters seen there,
+    from rows with ``grid_zone`` and ``meter_number``."""
+    number = F.col("meter_number")
+    return zone_meters.groupBy("grid_zone", F.bitmap_bucket_number(number).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("meters")
+    )
+
+
+def merged_zone_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    return bitmaps.groupBy("grid_zone", "bucket").agg(F.bitmap_or_agg("meters").alias("meters"))
+
+
+def dim_grid_zones_from_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """The zone dimension with exact distinct meter counts, from merged bitmaps."""
+    counts = bitmaps.groupBy("grid_zone").agg(F.sum(F.bitmap_count("meters")).alias("meter_count"))
+    return counts.select(
+        "grid_zone", zone_name("grid_zone").alias("grid_zone_name"), federal_state("grid_zone").alias("federal_state"), "meter_count"
+    )

@@ -1,28 +1,21 @@
 """Expose materialised marts to SQL under their model names.
 
 After a build, ``spark.sql("select ... from fct_energy_consumption join
-dim_grid_zones using (grid_zone)")`` runs unchanged against the tables in
-``out_dir``: each name is a view over the parquet folder, so Catalyst
-still prunes columns, pushes filters into the scan and prunes the fact's
-date partitions.
+dim_grid_zones using (grid_zone)")`` runs unchanged against the published
+marts of ``out_dir``: each name is a view over their parquet folders, so
+Catalyst still prunes columns, pushes filters into the scan and prunes the
+fact's date partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.plans.materialize import read_fact
+from meterlake.plans.increments import DATES, FACT, METERS, ZONES, Warehouse
 
-MART_NAMES = ["fct_energy_consumption", "dim_meters", "dim_grid_zones", "dim_dates"]
+MART_NAMES = [FACT, METERS, ZONES, DATES]
 
 
 def register_marts(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """Create (or replace) one temp view per mart folder under ``out_dir``."""
-    out_dir = out_dir.rstrip("/")
-    views: dict[str, DataFrame] = {}
-    for name in MART_NAMES:
-        path = f"{out_dir}/{name}"
-        df = read_fact(spark, path) if name == "fct_energy_consumption" else spark.read.parquet(path)
-        df.createOrReplaceTempView(name)
-        views[name] = df
-    return views
+    """Create (or replace) one temp view per mart published under ``out_dir``."""
+    return Warehouse(spark, out_dir).register()

@@ -1,62 +1,29 @@
-"""Run the models in dependency order, then the checks; fail on a failure.
+"""Run the models in dependency order, then the checks; publish if they pass.
 
-Views stay lazy plans; tables are rebuilt; the fact is maintained
-incrementally. The readings are scanned once: they are aggregated to the
-meter x hour grain, that intermediate is written as a table next to the
-marts (computed once; it cuts lineage, so a lost executor never forces a
-rescan of the readings), and the fact and all dimensions are derived from
-it. The four
-mart writes are independent Spark jobs and are submitted concurrently.
+The readings are scanned once, to the meter x hour grain; the fact and all
+dimensions come from those totals. The marts of a run become visible together
+after its gate (see ``increments``): a failing run leaves the marts of the last
+one. Given as deliveries, readings are read once ever; given as a whole source,
+totals and dimensions are rebuilt and the fact gets the hours after its newest.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterlake.operators import marts, quality, readings
-from meterlake.plans.materialize import (
-    RunResult,
-    as_table,
-    as_view,
-    incremental_fact,
-    read_fact,
-    with_partition,
-)
+from meterlake.operators import marts, readings
+from meterlake.plans.increments import Warehouse
+from meterlake.plans.materialize import RunResult, as_view
 
 
 @dataclass
 class JobResult:
     fact_run: RunResult
     tables: dict[str, DataFrame]
-    checks: DataFrame
-
-
-def build_models(spark: SparkSession, source: DataFrame, out_dir: str, full_refresh: bool = False) -> tuple[RunResult, dict[str, DataFrame]]:
-    out_dir = out_dir.rstrip("/")
-    staged = as_view(readings.staging(source), "stg_meter_readings")
-    as_view(readings.anomaly_alerts(staged), "stg_anomaly_alerts")
-    as_view(marts.hourly_consumption(staged), "int_consumption_windowed")
-    mh = as_table(marts.meter_hours(staged), f"{out_dir}/int_meter_hours")
-    builds = {
-        "fct_energy_consumption": lambda: incremental_fact(
-            spark, staged, f"{out_dir}/fct_energy_consumption", full_refresh, hourly=marts.hourly_from_meter_hours(mh)
-        ),
-        "dim_meters": lambda: as_table(marts.dim_meters_from_meter_hours(mh), f"{out_dir}/dim_meters"),
-        "dim_grid_zones": lambda: as_table(marts.dim_grid_zones_from_meter_hours(mh), f"{out_dir}/dim_grid_zones"),
-        "dim_dates": lambda: as_table(marts.dim_dates_from_meter_hours(mh), f"{out_dir}/dim_dates"),
-    }
-    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-        done = {name: pool.submit(fn) for name, fn in builds.items()}
-        results = {name: f.result() for name, f in done.items()}
-    fact_schema = with_partition(marts.fact_consumption(marts.hourly_from_meter_hours(mh))).schema
-    tables = {"fct_energy_consumption": read_fact(spark, f"{out_dir}/fct_energy_consumption", fact_schema)}
-    tables.update({name: results[name] for name in ("dim_meters", "dim_grid_zones", "dim_dates")})
-    for name, df in tables.items():
-        as_view(df, name)  # SQL over the marts by model name
-    return results["fct_energy_consumption"], tables
+    checks: DataFrame | None  # None for a delivery that was published before
+    published: bool
 
 
 def run_then_test(
@@ -65,10 +32,19 @@ def run_then_test(
     out_dir: str,
     full_refresh: bool = False,
     fail_on_error: bool = True,
+    delivery: str | None = None,
+    late: str = "ignore",
 ) -> JobResult:
-    """Build, then evaluate the source and mart suites (20 checks) once."""
-    run, tables = build_models(spark, source, out_dir, full_refresh)
-    checks = quality.evaluated(quality.evaluate({"meter_readings": source, **tables}, quality.SOURCE_SUITE + quality.MART_SUITE))
-    if fail_on_error:
-        quality.gate(checks)
-    return JobResult(run, tables, checks)
+    """Build, evaluate the source and mart suites (20 checks) once, publish.
+
+    ``delivery`` names a delivery of new readings (see ``Warehouse.apply``);
+    ``late="merge"`` recomputes the dates that a delivery touches instead of
+    ignoring late hours. Raises ``DataQualityError`` if a check fails, unless
+    ``fail_on_error`` is off: then the marts are published all the same."""
+    staged = as_view(readings.staging(source), "stg_meter_readings")
+    as_view(readings.anomaly_alerts(staged), "stg_anomaly_alerts")
+    as_view(marts.hourly_consumption(staged), "int_consumption_windowed")
+    run = Warehouse(spark, out_dir, late).apply(source, delivery, full_refresh, gate=fail_on_error)
+    for name, df in run.tables.items():
+        as_view(df, name)  # SQL over the marts by model name
+    return JobResult(RunResult(run.mode, run.high_water_mark), run.tables, run.checks, run.published)
