@@ -79,7 +79,8 @@ def test_empty_and_single(spark):
 
 def test_no_candidate_is_lost_and_some_are_pruned():
     rng = np.random.default_rng(5)
-    v = rng.normal(0, 40, (2000, 8)).round()
+    v = rng.normal(0, 40, (2000, 8))
+    v = (v / np.linalg.norm(v, axis=1)[:, None] * 100).round()  # one length class
     q = v[3] * 1.5
     bucket = negatives.Bucket(v)
     score = v @ q
