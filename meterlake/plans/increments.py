@@ -77,6 +77,12 @@ class Warehouse:
             DATES: self._read(f"{dims}/dates", state, "dates"),
         }
 
+    def stored_checks(self, state: dict | None = None) -> DataFrame:
+        """The 20 checks of a state (the current one), from the results stored by part."""
+        state = self.manifest.current()[1] if state is None else state
+        results = self.spark.read.schema(check_state.STATE_SCHEMA).parquet(self.manifest.at(state["checks"]))
+        return check_state.evaluate_state(results, quality.SOURCE_SUITE + quality.MART_SUITE)
+
     def register(self) -> dict[str, DataFrame]:
         """The marts as views under their names; run it again to see a newer state."""
         found = self.tables()
@@ -112,15 +118,15 @@ class Warehouse:
         number, state = self.manifest.current()
         if delivery is not None and delivery in state.get("deliveries", []):
             return Run("repeated", state["mark"], False, number, None, self.tables(state))
-        draft, mode, checks = self._draft(source, state, delivery, full_refresh)
-        result = quality.evaluated(check_state.evaluate_state(checks, quality.SOURCE_SUITE + quality.MART_SUITE))
+        draft, mode = self._draft(source, state, delivery, full_refresh)
+        result = quality.evaluated(self.stored_checks(draft))
         if gate:
             quality.gate(result)
         number = self.manifest.commit(number, draft)
         return Run(mode, state.get("mark"), True, number, result, self.tables(draft))
 
-    def _draft(self, source: DataFrame, state: dict, delivery: str | None, full_refresh: bool) -> tuple[dict, str, DataFrame]:
-        """Write what the run adds; the state that would publish it, and its checks."""
+    def _draft(self, source: DataFrame, state: dict, delivery: str | None, full_refresh: bool) -> tuple[dict, str]:
+        """Write what the run adds; the state that would publish it, and how the fact grew."""
         staged = readings.staging(source)
         totals = dated.with_date(marts.meter_hour_parts(staged), "consumption_hour", FACT_PARTITION)
         whole = delivery is None
@@ -135,8 +141,8 @@ class Warehouse:
         mine = self.hours(draft, new)
         self._write_dimensions(draft, {} if whole else state, mine)
         mode, added = self._extend_fact(draft, state, new, full_refresh)
-        checks = self._checks(draft, {} if whole else state, source, delivery or "all", added, mode)
-        return draft, mode, checks
+        self._write_checks(draft, {} if whole else state, source, delivery or "all", added, mode)
+        return draft, mode
 
     # --- dimensions ----------------------------------------------------------------------
 
@@ -209,7 +215,7 @@ class Warehouse:
 
     # --- checks --------------------------------------------------------------------------
 
-    def _checks(self, draft: dict, state: dict, source: DataFrame, delivery: str, added: list[dict], mode: str) -> DataFrame:
+    def _write_checks(self, draft: dict, state: dict, source: DataFrame, delivery: str, added: list[dict], mode: str) -> None:
         """Write the results by part: the stored ones that still hold, and the new."""
         suite = lambda model: [c for c in quality.SOURCE_SUITE + quality.MART_SUITE if c.model == model]
         date = F.col(FACT_PARTITION).cast("string")
@@ -245,7 +251,6 @@ class Warehouse:
             new = new.unionByName(check_state.repeated_across(FACT_KEY, met, self._fact(draft, draft["fact"])))
         draft["checks"] = self.manifest.fresh("checks")
         new.write.parquet(self.manifest.at(draft["checks"]))
-        return self.spark.read.schema(check_state.STATE_SCHEMA).parquet(self.manifest.at(draft["checks"]))
 
     # --- maintenance ---------------------------------------------------------------------
 

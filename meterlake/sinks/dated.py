@@ -1,4 +1,4 @@
-"""Tables kept as parts by date, listed in a manifest.
+"""Tables kept as parts by date (or another column), listed in a manifest.
 
 A part is a parquet folder partitioned by date; its manifest entry says which
 of its dates are live. Appending adds a part, replacing dates takes them from
@@ -25,22 +25,23 @@ _PART = "part"  # folders are named part=<id>, so that all parts together are on
 FAN_IN = 8  # parts of one tier that are merged into one of the next
 
 
-def write_part(manifest: Manifest, kind: str, df: DataFrame, date_col: str) -> dict | None:
+def write_part(manifest: Manifest, kind: str, df: DataFrame, date_col: str | None) -> dict | None:
     """Write the rows as a new part; its manifest entry, or None without rows.
 
     The rebalance hint lets AQE size the write tasks: a hot date is split,
-    small ones are merged."""
+    small ones are merged. Without ``date_col`` the part is one plain folder."""
     kind, name = manifest.fresh(kind).split("/")
     folder = f"{kind}/{_PART}={name}"
-    df.hint("rebalance", date_col).write.partitionBy(date_col).parquet(manifest.at(folder))
-    prefix = f"{date_col}="
-    dates = [n.removeprefix(prefix) for n in files.names(df.sparkSession, manifest.at(folder)) if n.startswith(prefix)]
-    if not dates:
+    writer = df.hint("rebalance", date_col).write.partitionBy(date_col) if date_col else df.hint("rebalance").write
+    writer.parquet(manifest.at(folder))
+    found = files.names(df.sparkSession, manifest.at(folder))
+    dates = [n.removeprefix(f"{date_col}=") for n in found if n.startswith(f"{date_col}=")]
+    if not dates and not (date_col is None and any(n.startswith("part-") for n in found)):
         return None
     return {"folder": folder, "dates": dates, "all": True, "bytes": files.size_of(df.sparkSession, manifest.at(folder))}
 
 
-def read_parts(manifest: Manifest, entries: list[dict], schema: T.StructType, date_col: str) -> DataFrame:
+def read_parts(manifest: Manifest, entries: list[dict], schema: T.StructType, date_col: str | None) -> DataFrame:
     """The live rows of the parts in one scan, which date filters prune: whole
     parts by their folder, parts of which dates were replaced by their live dates."""
     if not entries:
@@ -68,7 +69,7 @@ def tier(entry: dict) -> int:
     return int(math.log(max(entry["bytes"], 1), FAN_IN))
 
 
-def merge_parts(manifest: Manifest, kind: str, entries: list[dict], schema: T.StructType, date_col: str,
+def merge_parts(manifest: Manifest, kind: str, entries: list[dict], schema: T.StructType, date_col: str | None,
                 merge: Callable[[DataFrame], DataFrame] = lambda df: df, fan_in: int = FAN_IN) -> list[dict]:
     """Entries with every full tier merged into one part. ``merge`` may add up
     rows that belong together."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,15 @@ class Manifest:
             raise CommitConflict(f"{self.base}: state {after + 1} was committed by another run")
         return after + 1
 
+    def update(self, change: Callable[[dict], dict]) -> int:
+        """Commit ``change(state)``, again from the newer state if another run was first."""
+        while True:
+            number, state = self.current()
+            try:
+                return self.commit(number, change(state))
+            except CommitConflict:
+                continue
+
     def fresh(self, kind: str) -> str:
         """A new folder name for data of a kind, relative to the base."""
         return f"{kind}/{uuid.uuid4().hex}"

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from meterlake.functions.numbering import gapless, with_local_number
 from meterlake.schemas import ENVELOPE_SCHEMA, READINGS_TOPIC
 
 
@@ -57,23 +59,54 @@ def envelope_from_messages(
     log_time: Column,
     topic: str = READINGS_TOPIC,
     partitions: int = 3,
+    partition: Column | None = None,
 ) -> DataFrame:
     """Wrap (key, value) messages in the envelope layout.
 
-    The log partition is a hash of the key, as a keyed producer would pick.
-    Offsets are not assigned (that needs a global order); they stay NULL.
+    The log partition is a hash of the key, as a keyed producer would pick, or
+    the given column. Offsets stay NULL until ``assign_offsets``.
     """
+    number = partition if partition is not None else F.pmod(F.hash(F.col("key")), F.lit(partitions))
     return messages.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.hash(F.col("key")), F.lit(partitions)).cast("int").alias("partition"),
+        number.cast("int").alias("partition"),
         F.lit(None).cast("long").alias("offset"),
         log_time.cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
 
+def assign_offsets(envelope: DataFrame, scratch: str, start: int = 0) -> DataFrame:
+    """Offsets from ``start`` without gaps in every log partition, in the order of
+    log time (then key and value).
+
+    Nothing is sorted in one place: rows are dealt by ranges of that order and
+    sorted within them; a range's rows of each log partition are counted, and
+    the counts before a range are added to the places within it. ``scratch`` is
+    a new folder for the dealt rows, so that a task run again numbers alike."""
+    order = ["timestamp", "key", "value"]
+    ranged = envelope.drop("offset").repartitionByRange(*order).sortWithinPartitions(*order)
+    with_local_number(ranged).write.parquet(scratch)
+    spark = envelope.sparkSession
+    dealt = spark.read.schema(T.StructType([*ranged.schema.fields, T.StructField("local_number", T.LongType())])).parquet(scratch)
+    return gapless(dealt, start, group=["partition"], name="offset").select(*ENVELOPE_SCHEMA.fieldNames())
+
+
+def from_offsets(envelope: DataFrame, offsets: dict[int, int], others: str = "earliest") -> DataFrame:
+    """The records from the given offset of each log partition on (it included);
+    of partitions not named all (``earliest``) or none (``latest``). As plain
+    comparisons the offsets reach the scan of envelope files."""
+    if others not in ("earliest", "latest"):
+        raise ValueError(f"unknown start {others!r}")
+    named = F.col("partition").isin(*offsets) if offsets else F.lit(False)
+    wanted = ~named if others == "earliest" else F.lit(False)
+    for number, first in offsets.items():
+        wanted = wanted | ((F.col("partition") == number) & (F.col("offset") >= first))
+    return envelope.where(wanted)
+
+
 def read_envelope_files(
     spark: SparkSession,
     path: str,

@@ -39,6 +39,7 @@ from meterlake.operators import marts, readings, windows
 from meterlake.operators.readings import Clock
 from meterlake.schemas import ALERTS_TOPIC, GOLD_COLUMNS, GOLD_WATERMARK, GOLD_WINDOW, READING_SCHEMA
 from meterlake.sources.log import envelope_from_messages
+from meterlake.streaming.generations import SchemaGenerations
 
 _TS = T.TimestampType()
 BRONZE_SCHEMA = T.StructType(
@@ -75,7 +76,7 @@ class LayerPaths:
         return f"{self.base.rstrip('/')}/_checkpoints/{layer}"
 
 
-def _with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
+def with_trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     if trigger is None:
         return writer
     if trigger == "availableNow":
@@ -105,7 +106,7 @@ def write_stream(
         writer = writer.partitionBy(*partition_by)
     if query_name:
         writer = writer.queryName(query_name)
-    return _with_trigger(writer, trigger).start(path)
+    return with_trigger(writer, trigger).start(path)
 
 
 def read_layer_stream(
@@ -134,6 +135,7 @@ def start_medallion(
     date_partitions: bool = False,
     state_store: str | None = None,
     max_files_per_trigger: int | None = 1000,
+    schema: T.StructType | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start (and for ``availableNow``, run to completion) the three layers.
 
@@ -160,12 +162,16 @@ def start_medallion(
     date-range read of a large table; with dates, backfills and batch reads
     of a period touch only that period's files. Rows without event time go
     to the default (NULL) date partition.
+
+    ``schema`` is the reading's from this start on: a later generation may add
+    fields, on the same checkpoints and tables. Without it the newest generation
+    that the tables know is used (see ``generations``).
     """
     if min_batches_to_retain is not None:
         with _settings(spark, {"spark.sql.streaming.minBatchesToRetain": str(min_batches_to_retain)}):
             return start_medallion(
                 spark, envelope, paths, mode, trigger, fmt, bronze_clock, silver_clock, window, watermark, None,
-                gold_state_partitions, date_partitions, state_store, max_files_per_trigger,
+                gold_state_partitions, date_partitions, state_store, max_files_per_trigger, schema,
             )
     sequential = trigger in ("availableNow", "once")
     started: dict[str, StreamingQuery] = {}
@@ -189,7 +195,9 @@ def start_medallion(
             start("gold", df, None)
 
     layout = ["event_date", "grid_zone"] if date_partitions else ["grid_zone"]
-    bronze = readings.parse_envelope(envelope, bronze_clock)
+    reading = SchemaGenerations(spark, paths.base).at_start(schema)
+    bronze = readings.parse_envelope(envelope, bronze_clock, schema=reading)
+    added = reading.fields[len(READING_SCHEMA.fields) :]
     if date_partitions:
         bronze = bronze.withColumn("event_date", F.to_date("event_timestamp"))
     if mode == "fanout":
@@ -201,7 +209,7 @@ def start_medallion(
     if mode != "chained":
         raise ValueError(f"unknown mode {mode!r}")
     start("bronze", bronze, layout)
-    extra = [T.StructField("event_date", T.DateType())] if date_partitions else []
+    extra = added + ([T.StructField("event_date", T.DateType())] if date_partitions else [])
     bronze_in = read_layer_stream(spark, paths.table("bronze"), T.StructType(BRONZE_SCHEMA.fields + extra), fmt, max_files_per_trigger)
     start("silver", readings.silver(bronze_in, silver_clock), layout)
     silver_in = read_layer_stream(spark, paths.table("silver"), T.StructType(SILVER_SCHEMA.fields + extra), fmt, max_files_per_trigger)
@@ -210,15 +218,22 @@ def start_medallion(
 
 
 def run_bounded(queries: dict[str, StreamingQuery], timeout_sec: float) -> None:
-    """Wait for one of the started queries to end or for the timeout, then stop
-    them; other queries of the session go on."""
+    """Wait for any of the started queries to end or for the timeout, then stop
+    them; other queries of the session go on. If one of them failed, its error
+    is raised (that of the first, in the order given)."""
     end = time.monotonic() + timeout_sec
     try:
-        while time.monotonic() < end and all(q.isActive for q in queries.values()):
-            next(iter(queries.values())).awaitTermination(min(1.0, max(0.0, end - time.monotonic())))
+        while all(q.isActive for q in queries.values()) and (left := end - time.monotonic()) > 0:
+            time.sleep(min(_POLL_SEC, left))
     finally:
         for q in queries.values():
             q.stop()
+    for q in queries.values():
+        if (error := q.exception()) is not None:
+            raise error
+
+
+_POLL_SEC = 0.2
 
 
 @contextlib.contextmanager
@@ -250,7 +265,7 @@ def publish_alerts(readings_stream: DataFrame, path: str, checkpoint: str | None
         writer = messages.select("key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic)
         if checkpoint is not None:
             writer = writer.option("checkpointLocation", checkpoint)
-        return _with_trigger(writer, trigger).start()
+        return with_trigger(writer, trigger).start()
     stamp = log_time if log_time is not None else F.current_timestamp()
     return write_stream(envelope_from_messages(messages, stamp, topic), path, checkpoint, trigger=trigger)
 
@@ -266,7 +281,7 @@ def update_meter_hours(silver: DataFrame, path: str, checkpoint: str | None = No
     writer = silver.writeStream.foreachBatch(add)
     if checkpoint is not None:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _with_trigger(writer, trigger).start()
+    return with_trigger(writer, trigger).start()
 
 
 def read_meter_hours(spark: SparkSession, path: str) -> DataFrame:
