@@ -88,10 +88,10 @@ def key_hashes(df: DataFrame, column: str, part_col: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("h"), part_col).distinct()
 
 
-def met_hashes(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Hashes (``key_hashes``) of new parts that other parts hold as well."""
-    met = new.join(old.select("h"), "h", "left_semi").select("h")
-    return met.union(new.groupBy("h").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("h")).distinct()
+def met_hashes(new: DataFrame, old: DataFrame | None) -> DataFrame:
+    """Hashes (``key_hashes``) of new parts that other parts, new or old, hold as well."""
+    several = new.groupBy("h").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("h")
+    return several if old is None else several.union(new.join(old.select("h"), "h", "left_semi").select("h")).distinct()
 
 
 def repeated_across(check: Check, met: DataFrame, rows: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ key of the fact.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,8 +140,11 @@ class Warehouse:
         new = [part] if part else []
         draft["hours"] = new if whole else [*state.get("hours", []), *new]
         mine = self.hours(draft, new)
-        self._write_dimensions(draft, {} if whole else state, mine)
-        mode, added = self._extend_fact(draft, state, new, full_refresh)
+        with ThreadPoolExecutor(max_workers=2) as pool:  # independent Spark jobs
+            dimensions = pool.submit(self._write_dimensions, draft, {} if whole else state, mine)
+            fact = pool.submit(self._extend_fact, draft, state, new, full_refresh)
+            dimensions.result()
+            mode, added = fact.result()
         self._write_checks(draft, {} if whole else state, source, delivery or "all", added, mode)
         return draft, mode
 
@@ -218,39 +222,57 @@ class Warehouse:
     def _write_checks(self, draft: dict, state: dict, source: DataFrame, delivery: str, added: list[dict], mode: str) -> None:
         """Write the results by part: the stored ones that still hold, and the new."""
         suite = lambda model: [c for c in quality.SOURCE_SUITE + quality.MART_SUITE if c.model == model]
-        date = F.col(FACT_PARTITION).cast("string")
-        # Without stored results (a whole build) the fact's older parts are checked here, once.
-        unseen = added if "keys" in state else draft["fact"]
         new = check_state.part_state(source, suite("meter_readings"), delivery)
         tables = self.tables(draft)
         for name in (METERS, ZONES, DATES):
             new = new.unionByName(check_state.part_state(tables[name], suite(name), "all"))
-        new = new.unionByName(check_state.part_state(self._fact(draft, unseen), suite(FACT), date))
-
-        keys = [] if mode == "full" else state.get("keys", [])
-        read = lambda entries: dated.read_parts(self.manifest, entries, KEY_SCHEMA, FACT_PARTITION)
-        part = dated.write_part(self.manifest, "keys", check_state.key_hashes(self._fact(draft, unseen), FACT_KEY.column, FACT_PARTITION), FACT_PARTITION)
-        if part and mode == "merged":
-            keys = dated.replaced(keys, part)[:-1]
-        draft["keys"] = [*keys, *([part] if part else [])]
-        met = check_state.met_hashes(read([part]), read(keys)) if part else None
+        # A whole build has no stored results: the fact is checked from end to end.
+        fact, date = self._fact(draft, added if state else draft["fact"]), F.col(FACT_PARTITION).cast("string")
+        by_date = [c for c in suite(FACT) if state or c.kind != "unique"]
+        new = new.unionByName(check_state.part_state(fact, by_date, date))
+        if not state:
+            new = new.unionByName(check_state.part_state(fact, [FACT_KEY], check_state.ACROSS))
 
+        across = None
         if state:
             stored = self.spark.read.schema(check_state.STATE_SCHEMA).parquet(self.manifest.at(state["checks"]))
             stored = stored.where(~F.col("model").isin(METERS, ZONES, DATES))
             mine = F.col("model") == FACT
             if mode == "full":
                 stored = stored.where(~mine)
-            elif mode == "merged" and added:
+            elif mode == "merged" and added:  # the dates of keys in several parts may have been replaced
                 across = stored.where(mine & (F.col("part") == check_state.ACROSS)).select(F.xxhash64("value").alias("h"))
-                met = met.union(across).distinct()  # their dates may have been replaced
                 gone = [d for e in added for d in e["dates"]]
                 stored = stored.where(~(mine & F.coalesce(F.col("part"), F.lit(dated.NO_DATE)).isin(check_state.ACROSS, *gone)))
             new = new.unionByName(stored)
-        if met is not None and met.limit(1).count():
-            new = new.unionByName(check_state.repeated_across(FACT_KEY, met, self._fact(draft, draft["fact"])))
         draft["checks"] = self.manifest.fresh("checks")
-        new.write.parquet(self.manifest.at(draft["checks"]))
+        at = self.manifest.at(draft["checks"])
+        if not state:
+            new.write.parquet(at)  # the first delivery after it writes the key hashes
+            return
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            written = pool.submit(new.write.parquet, at)
+            met = pool.submit(self._keys_met, draft, state, added, mode, across).result()
+            written.result()
+        if met is not None:
+            check_state.repeated_across(FACT_KEY, met, self._fact(draft, draft["fact"])).write.mode("append").parquet(at)
+
+    def _keys_met(self, draft: dict, state: dict, added: list[dict], mode: str, across: DataFrame | None) -> DataFrame | None:
+        """Write the key hashes of the fact's new parts; those that other parts hold
+        as well (or None), and those of the stored ``across`` to be counted again."""
+        keys = [] if mode == "full" else state.get("keys", [])
+        unseen = added if "keys" in state else draft["fact"]
+        hashes = check_state.key_hashes(self._fact(draft, unseen), FACT_KEY.column, FACT_PARTITION)
+        part = dated.write_part(self.manifest, "keys", hashes, FACT_PARTITION)
+        if part and mode == "merged":
+            keys = dated.replaced(keys, part)[:-1]
+        draft["keys"] = [*keys, *([part] if part else [])]
+        if not part:
+            return None
+        read = lambda entries: dated.read_parts(self.manifest, entries, KEY_SCHEMA, FACT_PARTITION)
+        met = check_state.met_hashes(read([part]), read(keys) if keys else None)
+        met = met if across is None else met.union(across).distinct()
+        return met if met.limit(1).count() else None
 
     # --- maintenance ---------------------------------------------------------------------
 
@@ -284,6 +306,8 @@ class Warehouse:
         schemas = {"hours": self._schema(state, "hours"), "fact": self._schema(state, "fact"), "keys": KEY_SCHEMA}
         draft = {**state}
         for kind, merge in merges.items():
+            if kind not in state:
+                continue
             draft[kind] = dated.merge_parts(self.manifest, kind, state[kind], schemas[kind], FACT_PARTITION, merge, self.fan_in)
         return number if draft == state else self.manifest.commit(number, draft)
 
@@ -293,7 +317,7 @@ class Warehouse:
         live = []
         for n in self.manifest.numbers()[-keep:]:
             state = self.manifest.state(n)
-            live += [e["folder"] for kind in ("hours", "fact", "keys") for e in state[kind]] + [state["dims"], state["checks"]]
+            live += [e["folder"] for kind in ("hours", "fact", "keys") for e in state.get(kind, [])] + [state["dims"], state["checks"]]
         return self.manifest.vacuum(live, KINDS, keep)
 
     def size_of(self, state: dict, kind: str) -> int:
