@@ -107,8 +107,8 @@ class Bucket:
 
 
 def _first(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best: score down, then id up."""
-    return np.lexsort((ids, -score))[:k]
+    """Places of the k best: score down (~x falls as x rises, at every 64-bit x), then id up."""
+    return np.lexsort((ids, ~score))[:k]
 
 
 # --- cells -----------------------------------------------------------------------------

@@ -3,9 +3,10 @@
 Scores are sums over ``PARTS`` blocks of dimensions, so each (vector block,
 dimension block) holds a list of partial scores for every query.
 
-1. Gather: every vector block lists, per dimension block, its best partial
-   scores, completes the scores of those vectors and gives its best totals.
-   The k-th best total over all blocks is a safe cutoff: k vectors reach it.
+1. Gather: every vector block lists, per dimension block, its k best partial
+   scores, completes the scores of the vectors on these lists only, and gives
+   the best of them. The k-th best over all blocks is a safe cutoff: k vectors
+   reach it.
 2. Collect: the cutoff goes back to every block. A vector whose score reaches
    the cutoff has a partial score of at least cutoff / PARTS in some dimension
    block, so only such entries are collected (for any sign of the scores).
@@ -14,173 +15,174 @@ dimension block) holds a list of partial scores for every query.
 
 Queries and vectors meet in cells (query block, vector block) of bounded size:
 the stated query set is compared with all rows in blocks, and no task or
-driver holds the queries or the vectors whole. A vector that many ids share
-ties in every block, where the k smallest ids are enough.
+driver holds the queries or the vectors whole. The quantised rows are written
+once and read from there. A vector that many ids share ties in every block,
+where the k smallest ids are enough.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterlake.llm.graph import stored
+from meterlake.llm.vectors import LONG, Exact, matrix, quantised, takes_part
+
 PARTS = 4
 SCALE = 64
 QUERY_BLOCK = 1024
 VECTOR_BLOCK = 4096
 ROWS_AT_ONCE = 256  # queries of a cell compared at once
-LIMIT = 2**31 - 1  # quantised components are clipped to this magnitude
-
-
-def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id and floor(scale * x) of every component, for the vectors that take part."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & whole)
-    clipped = F.transform("v", lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(LIMIT)), F.lit(-LIMIT)).cast("int"))
-    return rows.select("vec_id", clipped.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
-
-
-def _matrix(rows: pd.Series, width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width))
-    for i, row in enumerate(rows):
-        out[i, : len(row)] = row
-    return out
 
 
 class Cell:
     """Partial scores of a block of queries with a block of vectors."""
 
-    def __init__(self, queries: pd.DataFrame, vectors: pd.DataFrame):
-        vectors = vectors.sort_values("vec_id", kind="stable")
-        self.query_id, self.vec_id = queries["query_id"].to_numpy(), vectors["vec_id"].to_numpy()
-        width = max([1, *map(len, queries["query_q"]), *map(len, vectors["q"])])
-        self.q, self.v = _matrix(queries["query_q"], width), _matrix(vectors["q"], width)
-        # Sums of whole numbers are exact in a float type while they stay below its mantissa.
-        bound = width * max(1.0, np.abs(self.q).max(initial=0)) * max(1.0, np.abs(self.v).max(initial=0))
-        kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
-        self.q, self.v = self.q.astype(kind), self.v.astype(kind)
+    def __init__(self, queries: pa.Table, vectors: pa.Table):
+        vectors = vectors.sort_by("id")
+        self.query_row, self.query_id = (queries[c].to_numpy() for c in ("row", "id"))
+        self.row, self.ids = (vectors[c].to_numpy() for c in ("row", "id"))
+        q, v = matrix(queries["q"]), matrix(vectors["q"])
+        width = max(q.shape[1], v.shape[1])
+        q, v = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, v))
+        exact = Exact(q, v)
+        self.q, self.v = exact.left, exact.right
+        # Narrower floats hold the sums exactly where these stay below their mantissa.
+        if self.q.dtype == np.float64 and width * max(1.0, np.abs(q).max(initial=0)) * max(1.0, np.abs(v).max(initial=0)) < 2**24:
+            self.q, self.v = self.q.astype(np.float32), self.v.astype(np.float32)
         self.cuts = [slice(s[0], s[-1] + 1) for s in np.array_split(np.arange(width), min(PARTS, width))]
 
     def pieces(self):
         for lo in range(0, len(self.q), ROWS_AT_ONCE):
             rows = np.arange(lo, min(len(self.q), lo + ROWS_AT_ONCE))
-            partial = [self.q[rows, c] @ self.v[:, c].T for c in self.cuts]
-            yield rows, partial, self.vec_id[None, :] != self.query_id[rows][:, None]
-
-    def best(self, row: int, at: np.ndarray, total: np.ndarray, k: int):
-        """The k best of a query's entries: score down, then vec_id up (the vectors' order)."""
-        if len(at) > k:
-            least = np.partition(total, len(total) - k)[len(total) - k]
-            over = total >= least
-            at, total = at[over], total[over]
-        order = np.lexsort((at, -total))[:k]
-        return self.query_id[row], self.vec_id[at[order]], total[order].astype(np.int64)
-
-
-def _frame(found: list, name: str) -> pd.DataFrame:
-    empty = np.zeros(0, np.int64)
-    return pd.DataFrame({
-        "query_id": np.concatenate([empty, *(np.full(len(s), q) for q, _, s in found)]),
-        "vec_id": np.concatenate([empty, *(v for _, v, _ in found)]),
-        name: np.concatenate([empty, *(s for _, _, s in found)]),
-    })
-
-
-def top_k(df: DataFrame, k: int = 20, *, id_col: str = "vec_id", vector_col: str = "embedding",
-          query_every: int = 20, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
+            yield rows, [self.q[rows, c] @ self.v[:, c].T for c in self.cuts]
+
+    def completed(self, partial: list[np.ndarray], i: int, at: np.ndarray) -> np.ndarray:
+        """Whole scores of a query's listed vectors, as 64-bit numbers."""
+        total = sum(p[i, at] for p in partial)
+        if total.dtype == object:
+            return np.array([min(max(int(x), -LONG - 1), LONG) for x in total], np.int64)
+        return total.astype(np.int64)
+
+    def listed(self, partial: list[np.ndarray], k: int) -> np.ndarray:
+        """Which vectors are among the k + 1 best of some part (one more than k, as
+        the query's own row may be among them)."""
+        out = np.zeros(partial[0].shape, bool)
+        for p in partial:
+            if p.shape[1] <= k + 1 or p.dtype == object:
+                out[:] = True
+            else:
+                np.put_along_axis(out, np.argpartition(p, p.shape[1] - k - 1, axis=1)[:, -k - 1 :], True, axis=1)
+        return out
+
+
+def _best(at: np.ndarray, total: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best entries: score down (~x falls as x rises, at every 64-bit x), then id up (the vectors' order)."""
+    if len(at) > k:
+        least = np.partition(total, len(total) - k)[len(total) - k]
+        over = np.flatnonzero(total >= least)
+        return over[np.lexsort((at[over], ~total[over]))[:k]]
+    return np.lexsort((at, ~total))
+
+
+def _search(k: int, with_cutoff: bool, completed: Accumulator | None) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Phase 1 of a cell, or with the cutoffs phases 2 and 3."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"query": [], "query_id": [], "id": [], "score": []}
+        if len(left) and len(right):
+            cell = Cell(left, right)
+            cutoffs = left["cutoff"].to_pylist() if with_cutoff else None
+            for rows, partial in cell.pieces():
+                if with_cutoff:
+                    # -LONG - 1 stands for every score below it as well.
+                    least = np.array([-math.inf if cutoffs[r] is None or cutoffs[r] < -LONG else cutoffs[r] for r in rows])
+                    most = partial[0]
+                    for p in partial[1:]:
+                        most = np.maximum(most, p)
+                    # Rounding of a wide cutoff must not lose an entry at it.
+                    near = (len(partial) * most >= (least - np.abs(np.where(np.isinf(least), 0, least)) * 1e-6)[:, None]).astype(bool)
+                else:
+                    near = cell.listed(partial, k)
+                for i, row in enumerate(rows.tolist()):
+                    at = np.flatnonzero(near[i])
+                    at = at[cell.row[at] != cell.query_row[row]]
+                    total = cell.completed(partial, i, at)
+                    if completed is not None:
+                        completed.add(len(at))
+                    if with_cutoff and cutoffs[row] is not None:
+                        over = total >= cutoffs[row]
+                        at, total = at[over], total[over]
+                    best = _best(at, total, k)
+                    n = len(best)
+                    for name, part in (("query", np.full(n, cell.query_row[row])), ("query_id", np.full(n, cell.query_id[row])),
+                                       ("id", cell.ids[at[best]]), ("score", total[best])):
+                        out[name].append(part)
+        return pa.table({name: pa.array(np.concatenate([np.zeros(0, np.int64), *parts]), pa.int64()) for name, parts in out.items()})
+
+    return work
+
+
+def top_k(df: DataFrame, k: int = 20, *, id_col: str = "vec_id", vector_col: str = "embedding", query_every: int = 20,
+          query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK, completed: Accumulator | None = None) -> DataFrame:
     """The k best other rows by integer inner product for every query row.
 
-    Queries are the rows whose id is divisible by ``query_every``; returns
-    query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id.
+    Components become floor(64 * x). Queries are the rows whose id is divisible
+    by ``query_every``; returns query_id, rank (from 1), vec_id, score; ties go
+    to the smaller vec_id. ``completed`` (an accumulator) counts the scores that
+    were added up whole.
 
     Defined cases: rows with a null id, a null vector, or a null or non-finite
-    component take no part; an id that repeats counts once, with its smallest
-    quantised vector; shorter vectors are padded with zeros; quantised
-    components are clipped to 32 bits; fewer than k candidates give all of
-    them; other columns are ignored; an empty table gives no rows.
+    component take no part; rows that repeat an id all count, as queries (each
+    with its own ranks) and as candidates of each other; shorter vectors are
+    padded with zeros; a score beyond 64 bits counts as the nearest 64-bit
+    number; fewer than k candidates give all of them; other columns are
+    ignored; an empty table gives no rows.
     """
-    vectors = quantised(df, id_col, vector_col)
-    queries = vectors.where(F.col("vec_id") % query_every == 0).select(F.col("vec_id").alias("query_id"), F.col("q").alias("query_q"))
-    n, n_queries = vectors.agg(F.count("*"), F.count(F.when(F.col("vec_id") % query_every == 0, 1))).first()
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = rows.where(F.col("id").isNotNull() & takes_part(F.col("v")))
+    vectors = stored(rows.select(F.monotonically_increasing_id().alias("row"), "id", quantised(F.col("v"), SCALE).alias("q")), "vectors")
+    is_query = F.col("id") % query_every == 0
+    n, n_queries = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     across, down = max(1, math.ceil(n / vector_block)), max(1, math.ceil(n_queries / query_block))
-    cell = ["qb", "vb"]
-    vector_cells = vectors.withColumns({
-        "vb": F.pmod(F.xxhash64("vec_id"), F.lit(across)), "qb": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(down - 1).cast("bigint"))),
-    }).groupBy(*cell)
-
-    def query_cells(rows: DataFrame):
-        return rows.withColumns({
-            "qb": F.pmod(F.xxhash64("query_id"), F.lit(down)), "vb": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(across - 1).cast("bigint"))),
-        }).groupBy(*cell)
-
-    def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            c = Cell(left, right)
-            for rows, partial, other in c.pieces():
-                total = sum(partial)
-                listed = np.zeros(total.shape, bool)
-                for p in partial:
-                    if p.shape[1] <= k + 1:
-                        listed[:] = True
-                    else:  # one more than k, as the query's own row may be among them
-                        np.put_along_axis(listed, np.argpartition(p, p.shape[1] - k - 1, axis=1)[:, -k - 1 :], True, axis=1)
-                listed &= other
-                for i, row in enumerate(rows.tolist()):
-                    at = np.flatnonzero(listed[i])
-                    found.append(c.best(row, at, total[i, at], k))
-        return _frame(found, "score")[["query_id", "score"]]
-
-    lists = query_cells(queries).cogroup(vector_cells).applyInPandas(gather, "query_id bigint, score bigint")
-    by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc())
-    cutoffs = (
-        lists.withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= k)
-        .groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("cutoff"))
-    )
-
-    def collect(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            c = Cell(left, right)
-            cutoff = left["cutoff"].to_numpy(float, na_value=-np.inf)
-            for rows, partial, other in c.pieces():
-                most = partial[0].copy()
-                for p in partial[1:]:
-                    np.maximum(most, p, out=most)
-                most = (len(partial) * most >= cutoff[rows][:, None]) & other
-                for i, row in enumerate(rows.tolist()):
-                    at = np.flatnonzero(most[i])
-                    total = sum(p[i, at] for p in partial)
-                    reach = total >= cutoff[row]
-                    found.append(c.best(row, at[reach], total[reach], k))
-        return _frame(found, "score")
-
-    with_cutoff = queries.join(cutoffs, "query_id", "left").select(F.col("query_id").alias("query_id"), F.col("query_q").alias("query_q"), "cutoff")
-    entries = query_cells(with_cutoff).cogroup(vector_cells).applyInPandas(collect, "query_id bigint, vec_id bigint, score bigint")
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    number = lambda last: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last - 1).cast("bigint")))
+    block = lambda of: F.pmod(F.xxhash64("row"), F.lit(of))
+    vector_cells = vectors.withColumn("vb", block(across)).withColumn("qb", number(down)).groupBy("qb", "vb")
+    queries = vectors.where(is_query).select(*[F.col(c).alias(c) for c in vectors.columns])
+
+    def visit(asked: DataFrame, with_cutoff: bool) -> DataFrame:
+        cells = asked.withColumn("qb", block(down)).withColumn("vb", number(across)).groupBy("qb", "vb")
+        return cells.cogroup(vector_cells).applyInArrow(_search(k, with_cutoff, completed), "query bigint, query_id bigint, id bigint, score bigint")
+
+    by_score = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
+    listed = visit(queries, False).withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= k)
+    cutoffs = listed.groupBy("query").agg(F.when(F.count("*") >= k, F.min("score")).alias("cutoff"))
+    asked = queries.join(cutoffs.withColumnRenamed("query", "row"), "row", "left")
     return (
-        entries.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        visit(asked, True).withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
     )
 
 
 TOP_K_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r
   WHERE a.vec_id % 20 = 0
 )
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
 FROM s
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 20
 """
