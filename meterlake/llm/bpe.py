@@ -35,11 +35,23 @@ WHITE_SPACE = (
 )
 # The suffixes the pattern splits off after an apostrophe.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
+# Letters and numbers that Unicode 16 added (first and last code point);
+# the interpreter's tables end with an earlier version.
+UNICODE_16_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+UNICODE_16_NUMBERS = (
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9),
+    (0x1E5F1, 0x1E5FA),
+)
 
 
 @lru_cache(maxsize=1)
 def class_table() -> np.ndarray:
-    """Class of every code point, from the Unicode general category."""
+    """Class of every code point, from the Unicode general category (version 16)."""
     table = np.full(0x110000, OTHER, np.uint8)
     for cp in range(0x110000):
         kind = unicodedata.category(chr(cp))[0]
@@ -47,6 +59,9 @@ def class_table() -> np.ndarray:
             table[cp] = LETTER
         elif kind == "N":
             table[cp] = NUMBER
+    for kind, runs in ((LETTER, UNICODE_16_LETTERS), (NUMBER, UNICODE_16_NUMBERS)):
+        for first, last in runs:
+            table[first : last + 1] = kind
     table[list(WHITE_SPACE)] = SPACE
     table[0x20] = BLANK
     table[ord("'")] = QUOTE

@@ -6,8 +6,10 @@ sequence or into a new one. Only documents longer than a sequence are cut.
 
 The state of the method is the counts N(g), so pieces can be packed in
 independent shards: each shard is one task of bounded size and leaves only a
-few open sequences behind. Shards come from a hash of the piece, so neither a
-long document nor a frequent source lands in one of them.
+few open sequences behind. The pieces are written once with a number of their
+own, counted, and dealt to shards by a hash of that number, so a shard has about
+``SHARD_PIECES`` pieces, however long the documents are and however often a row
+occurs.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.graph import stored
 from meterlake.llm.text import text_chunks
 from meterlake.llm.tokens import Vocabulary, id_and_text
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-SHARD_DOCUMENTS = 16_384
+SHARD_PIECES = 16_384
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PACKED = f"{_PIECES}, sequence_id bigint, offset bigint"
@@ -43,7 +46,8 @@ def pieces(
     df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, end_id: int = END_OF_DOCUMENT,
 ) -> DataFrame:
-    """Token pieces of every document: its ids (with ``end_id`` after them), cut to capacity."""
+    """Token pieces of every document: its ids (with ``end_id`` after them), cut to
+    capacity. Cases as for :func:`pack_documents`."""
     vocab = Vocabulary(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,24 +111,23 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return sequence, offset
 
 
-def pack(
-    piece_rows: DataFrame, n_shards: int, *, capacity: int = CAPACITY
-) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to rows of :func:`pieces`."""
+def pack(numbered: DataFrame, n_shards: int, *, capacity: int = CAPACITY) -> DataFrame:
+    """Adds ``sequence_id`` and ``offset`` to rows of :func:`pieces` that have a
+    ``number`` of their own each. Nulls and repeated rows are pieces like others."""
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], na_position="first", kind="stable")
+        group = group.sort_values(["length", "doc_id", "piece", "ids_crc32", "number"], ascending=[False, True, True, True, True], na_position="first", kind="stable")
         sequence, offset = sum_of_squares(group["length"].to_numpy(), capacity)
         shard = int(group["shard"].iloc[0])
-        return group.drop(columns="shard").assign(sequence_id=(np.int64(shard) << 32) + sequence, offset=offset)
+        return group.drop(columns=["shard", "number"]).assign(sequence_id=(np.int64(shard) << 32) + sequence, offset=offset)
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_shards))
-    return piece_rows.withColumn("shard", shard).groupBy("shard").applyInPandas(one, _PACKED)
+    shard = F.pmod(F.xxhash64("number"), F.lit(n_shards))
+    return numbered.withColumn("shard", shard).groupBy("shard").applyInPandas(one, _PACKED)
 
 
 def pack_documents(
     df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
-    capacity: int = CAPACITY, end_id: int = END_OF_DOCUMENT, shard_documents: int = SHARD_DOCUMENTS,
+    capacity: int = CAPACITY, end_id: int = END_OF_DOCUMENT, shard_pieces: int = SHARD_PIECES,
 ) -> DataFrame:
     """Whole documents into sequences of at most ``capacity`` tokens.
 
@@ -137,5 +140,6 @@ def pack_documents(
     ties go to the fullest sequence; other input columns are ignored; an empty
     table gives no rows.
     """
-    n_shards = max(1, math.ceil(df.count() / shard_documents))
-    return pack(pieces(df, vocabulary, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), n_shards, capacity=capacity)
+    found = pieces(df, vocabulary, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id)
+    numbered = stored(found.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    return pack(numbered, max(1, math.ceil(numbered.count() / shard_pieces)), capacity=capacity)

@@ -84,6 +84,10 @@ def encode_texts(
     of each token in the text, which ``decode_ids`` needs none of but span
     look-ups do); ``ids_sha256`` (of the ids as little-endian 32-bit words);
     ``decoded_sha256`` (of the bytes decoded from the ids).
+
+    Defined cases: a null or empty text has no ids; a text of any length is
+    encoded whole; repeated rows are encoded each; a null id stays null; other
+    columns are ignored; an empty table gives no rows.
     """
     vocab = Vocabulary(df.sparkSession, vocabulary)
 
@@ -123,13 +127,20 @@ def _digests(data: np.ndarray, offsets: np.ndarray) -> list[str]:
 
 
 def decode_ids(df: DataFrame, vocabulary: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The bytes of every list of ids: ``doc_id``, ``decoded`` (binary; null ids: empty)."""
+    """The bytes of every list of ids: ``doc_id``, ``decoded`` (binary).
+
+    Defined cases: a null or empty list gives no bytes; nulls in a list and ids
+    that the vocabulary does not have (negative or too large) give none of their
+    own; repeated rows are decoded each; a null id stays null; other columns are
+    ignored; an empty table gives no rows.
+    """
     vocab = Vocabulary(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocab.encoder(False)
         for rows in batches:
-            lists = [np.asarray(x.as_py() or [], np.int64) for x in rows.column(1)]
+            n = len(encoder.token_len)
+            lists = [np.array([i for i in x.as_py() or [] if i is not None and 0 <= i < n], np.int64) for x in rows.column(1)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
             data, ends = encoder.decode(np.concatenate([np.zeros(0, np.int64), *lists]), offsets)
             parts = [data[a:b].tobytes() for a, b in zip(ends.tolist(), ends.tolist()[1:], strict=False)]
@@ -146,6 +157,7 @@ def count_tokens(
     bytes minus the pairs that heap merging joins. No ids are made.
 
     Returns doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``).
+    Cases as for :func:`encode_texts`.
     """
     vocab = Vocabulary(df.sparkSession, vocabulary)
 

@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meterlake.llm import bpe, packing, tokens
@@ -63,13 +64,21 @@ def test_ids_of_strange_texts(own, lib):
         assert counts[i] == len(wanted)
 
 
-def test_class_table_agrees_with_the_pattern(own):
-    """Every code point of the first planes, between letters, numbers and signs."""
-    texts = [f"a{c}1{c} {c}!{c}" for c in map(chr, range(0x20, 0x3000))]
+def test_every_code_point_before_a_suffix(own, lib):
+    """All code points that a text can hold, beside letters, numbers and a suffix, in both libraries."""
     with open(RANKS, "rb") as f:
         encoder = bpe.Encoder(bpe.load_tiktoken(f.read()))
-    ids, offsets = encoder.encode(Texts(pa.array(texts)))
-    assert all(ids[offsets[i] : offsets[i + 1]].tolist() == own.encode_ordinary(t) for i, t in enumerate(texts))
+    with open(JSON, "rb") as f:
+        ranks = bpe.load_json(f.read())
+    cps = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(cps), 1 << 16):
+        texts = [f"x {c}'s a{c} 1{c}" for c in map(chr, cps[lo : lo + (1 << 16)])]
+        batch = Texts(pa.array(texts))
+        ids, offsets = encoder.encode(batch)
+        wanted = own.encode_ordinary_batch(texts)
+        assert ids.tolist() == [i for w in wanted for i in w] and np.diff(offsets).tolist() == [len(w) for w in wanted]
+        counts = tokens._counts(ranks, tokens._CountCache(), batch)
+        assert counts.tolist() == [len(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_heap_and_row_merging_agree():
@@ -107,6 +116,15 @@ def test_decode_ids_round_trip(edge_documents):
     assert [bytes(r.decoded) for r in decoded] == [(d.text or "").encode() for d in edge_documents.collect()]
 
 
+def test_decode_strange_ids(spark):
+    top = sum(1 for _ in open(RANKS, "rb"))
+    rows = [(1, [5, None, 6]), (2, [top]), (3, [-1, 7]), (4, None), (5, []), (None, [8])]
+    got = tokens.decode_ids(spark.createDataFrame(rows, "doc_id long, ids array<int>"), RANKS).collect()
+    one = {i: bytes(tokens.decode_ids(spark.createDataFrame([(0, [i])], "doc_id long, ids array<int>"), RANKS).first().decoded) for i in (5, 6, 7, 8)}
+    assert [(r.doc_id, bytes(r.decoded)) for r in got] == [
+        (1, one[5] + one[6]), (2, b""), (3, one[7]), (4, b""), (5, b""), (None, one[8])]
+
+
 def test_counts_edge_rows(edge_documents, clashing, no_documents, lib):
     for df in (edge_documents, clashing):
         for r, d in zip(tokens.count_tokens(df, JSON).collect(), df.collect(), strict=True):
@@ -147,7 +165,7 @@ def test_packing(spark, lib):
 
 
 def test_packing_edge_rows(spark, clashing, no_documents, lib):
-    rows = packing.pack_documents(clashing, JSON, shard_documents=5).collect()
+    rows = packing.pack_documents(clashing, JSON, shard_pieces=5).collect()
     capacity = 2048
     filled: dict[int, list] = {}
     for r in rows:
@@ -166,6 +184,14 @@ def test_packing_edge_rows(spark, clashing, no_documents, lib):
     assert packing.pack_documents(no_documents, JSON).collect() == []
 
 
+def test_equal_rows_spread_over_all_shards(spark):
+    rows = spark.range(4000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("one text of a few words").alias("text"))
+    packed = packing.pack_documents(rows, JSON, shard_pieces=1000).collect()
+    shards = [r.sequence_id >> 32 for r in packed]
+    assert len(packed) == 4000 and len(set(shards)) == 4
+    assert max(shards.count(k) for k in set(shards)) < 1200
+
+
 def test_sum_of_squares_places_by_the_smallest_change():
     """Against a direct search over all open gaps."""
     rng = np.random.default_rng(5)
