@@ -24,8 +24,8 @@ from meterlake.llm.tokens import id_and_text
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-SAMPLE_ROWS = 512  # of the rows whose id hashes to 0 modulo SAMPLE_MODULUS; sets the order only
-SAMPLE_MODULUS = 8
+SAMPLE_ROWS = 512  # rows expected in the sample; it sets the order only
+SAMPLE_SEED = 8
 
 _IS_SYMBOL = np.isin(np.arange(256), [ord(c) for c in SYMBOLS])
 
@@ -174,9 +174,11 @@ RULES = (
 
 def choose_order(df: DataFrame, text_col: str, id_col: str, rules: tuple[Rule, ...] = RULES,
                  sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
-    """Rules by rejections per second, measured on at most ``sample_rows`` rows.
+    """Rules by rejections per second, measured on about ``sample_rows`` rows.
 
-    Tasks measure; the driver gets one small row per rule and chunk."""
+    Every task measures its share of the sample (each row is taken or not by
+    itself, so copies of a row are not taken together); the driver gets one
+    small row per rule and chunk."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_chunks(batches, 1):
@@ -188,7 +190,8 @@ def choose_order(df: DataFrame, text_col: str, id_col: str, rules: tuple[Rule, .
                     "rule": pa.array([k], pa.int32()), "cost": [cost], "rejected": pa.array([rejected.tolist()], pa.list_(pa.bool_())),
                 })
 
-    picked = id_and_text(df, id_col, text_col).where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_MODULUS)) == 0).limit(sample_rows)
+    share = min(1.0, sample_rows / max(1, df.count()))
+    picked = id_and_text(df, id_col, text_col).where(F.rand(SAMPLE_SEED) < share)
     found = picked.mapInArrow(measure, "rule int, cost double, rejected array<boolean>").collect()
     cost = [sum(r.cost for r in found if r.rule == k) for k in range(len(rules))]
     rejects = [np.array([x for r in found if r.rule == k for x in r.rejected], bool) for k in range(len(rules))]
@@ -272,7 +275,6 @@ def keep_good(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 # --- the same by SQL -----------------------------------------------------------------
 
 # DuckDB; windows are counted by their words, positions by the windows over them.
-# Capitals are compared with ASCII letters only, where RULES take those of any script.
 JUDGE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
@@ -293,7 +295,7 @@ WITH d AS (
          list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
          CAST(coalesce(rep.n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
          length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_upper,
-         length(regexp_replace(t, '[^a-z]+', '', 'g')) AS n_lower,
+         length(regexp_replace(t, '[^\p{L}]+', '', 'g')) AS n_letters,
          len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_same
   FROM d LEFT JOIN rep USING (r)
 ), s AS (
@@ -302,7 +304,7 @@ WITH d AS (
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 50 * (n_upper + n_lower)
+       NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_upper > 50 * n_letters
             OR 100 * n_dup_lines > 50 * len(lines) OR 100 * n_same > 20 * n_words) AS kept
 FROM s
 """

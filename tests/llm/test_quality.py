@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 
 from meterlake.llm import quality
 
@@ -18,10 +21,10 @@ def brute(text):
     lines = [x for x in t.split("\n") if WORD.search(x)]
     symbols = sum(c in quality.SYMBOLS for c in t)
     base = len(w) < 10 or 100 * len(inside) > 20 * len(w)
-    upper, lower = sum("A" <= c <= "Z" for c in t), sum("a" <= c <= "z" for c in t)
+    upper, letters = sum("A" <= c <= "Z" for c in t), sum(unicodedata.category(c)[0] == "L" for c in t)
     dup = len(lines) - len(set(lines))
     same = sum(a == b for a, b in zip(w, w[1:], strict=False))
-    bad = (base or 100 * symbols > 10 * len(w) or 100 * upper > 50 * (upper + lower)
+    bad = (base or 100 * symbols > 10 * len(w) or 100 * upper > 50 * letters
            or 100 * dup > 50 * len(lines) or 100 * same > 20 * len(w))
     return (len(w), sum(map(len, w)), symbols, dup, len(inside), base, not bad)
 
@@ -65,5 +68,10 @@ def test_an_acronym_in_another_script_is_not_mostly_capitals(spark):
     rows = [(k, f"{text} DNA") for k, text in enumerate(scripts.values())]
     rows += [(10, "THE SAME LETTERS OVER THERE ARE CAPITALS IN ALL WORDS É È"), (11, "ABCDEFGH IJKLMNOP QRST UVWX Ω A B C D E F G 😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀😀")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in quality.judge(df).collect() if r.kept) == [0, 1, 2, 3, 4]
+    judged = {r.doc_id: tuple(r)[1:] for r in quality.judge(df).collect()}
+    assert sorted(i for i, r in judged.items() if r[-1]) == [0, 1, 2, 3, 4]
+    assert judged == {i: brute(t) for i, t in rows}
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    assert judged == {r[0]: r[1:] for r in con.execute(quality.JUDGE_SQL).fetchall()}
     assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == [0, 1, 2, 3, 4]
