@@ -24,6 +24,7 @@ The order comes from a sketch of all documents' shingles (fixed size, see
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.graph import components, stored
 from meterlake.llm.shingles import SIZE, shingle_sets
 from meterlake.llm.text import mix64, ragged, text_chunks
+from meterlake.operators.joins import skew_safe_join
 
 SIMILARITY = 75  # percent
 SKETCH_BITS = 20  # 2**20 counters of 32 bits: 4 MB per task and on each executor
@@ -153,8 +155,11 @@ def _frequency_classes(found: DataFrame, bits: int) -> np.ndarray:
             total += np.frombuffer(blob, np.uint64)
         return pd.DataFrame({"part": [group["part"].iloc[0]], "counts": [total.tobytes()]})
 
-    # Counts of many tasks are added in two steps, so that none gets them all.
-    salted = found.where(F.col("part").isNotNull()).select("part", "counts", F.pmod(F.xxhash64("counts"), F.lit(32)).alias("salt"))
+    # Counts of many tasks are added in two steps of about the square root of their
+    # number, so that none gets them all.
+    counts = found.where(F.col("part").isNotNull())
+    salts = max(1, math.ceil(math.sqrt(counts.count() / SKETCH_PARTS)))
+    salted = counts.select("part", "counts", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).alias("salt"))
     once = salted.groupBy("part", "salt").applyInPandas(add, "part int, counts binary")
     parts = once.groupBy("part").applyInPandas(halves, "part int, counts binary").collect()
     total = np.zeros(1 << bits, np.uint64)
@@ -332,7 +337,8 @@ def _verified(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     sets = stored(rows.withColumn("spot", spot).mapInArrow(run, "doc_id bigint, members array<bigint>"), "sets")
     # The side with hubs first, while rows are narrow.
     joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("members_b")), "b")
-    joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("members_a")), "a")
+    # A class with very many partners is dealt over several tasks.
+    joined = skew_safe_join(joined, sets.select(F.col("doc_id").alias("a"), F.col("members").alias("members_a")), "a")
     both = F.size(F.array_intersect("members_a", "members_b"))
     rows_of = joined.select("a", "b", both.alias("both"), (F.size("members_a") + F.size("members_b")).alias("sum"))
     return rows_of.where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b").distinct()
@@ -350,33 +356,56 @@ def join_components(
     Defined cases: a null or empty text, or one without words, has no shingles
     and is linked with nothing; with fewer words than a shingle the whole
     sequence is the one shingle; rows that repeat a doc_id are the same
-    document (its texts' links are joined); a null doc_id is its own document
-    with a null component; a text of any length is read whole; other input
-    columns are ignored; an empty table gives no rows.
+    document (its texts' links are joined); rows with a null id and equal texts
+    are one document, which links others like any, and whose component_id is
+    the smallest id that it reaches, null if it reaches none; a text of any
+    length is read whole; other input columns are ignored; an empty table gives
+    no rows. Ids beyond 2**63 - 2**40 leave no numbers for rows without one: a
+    ValueError where a table has both.
     """
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    node, unnamed = _nodes(df, id_col, text_col)
+    labelled = _labelled(df.select(node.alias("doc_id"), F.col(text_col).cast("string").alias("text")), size, percent, sketch_bits)
+    given = lambda c: F.when(F.col(c) < unnamed, F.col(c)) if unnamed else F.col(c)
+    return labelled.select(given("doc_id").alias("doc_id"), "n_shingles", given("component_id").alias("component_id"))
+
+
+def _nodes(df: DataFrame, id_col: str, text_col: str) -> tuple[Column, int | None]:
+    """The number of every row's document: its id, or for rows without one a hash
+    of the text above all ids (from the second result on)."""
+    key = F.col(id_col).cast("bigint")
+    nulls, top = df.agg(F.count(F.when(key.isNull(), 1)), F.max(key)).first()
+    if not nulls:
+        return key, None
+    unnamed = max(1 << 62, (-1 if top is None else top) + 1)
+    if unnamed > (1 << 63) - (1 << 40):
+        raise ValueError(f"{id_col} goes up to {top}: no numbers are left for the rows without one")
+    made = F.lit(unnamed) + F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit((1 << 63) - unnamed))
+    return F.coalesce(key, made), unnamed
+
+
+def _labelled(rows: DataFrame, size: int, percent: int, sketch_bits: int) -> DataFrame:
+    """doc_id, n_shingles and component_id of rows that all have a doc_id."""
     found = stored(_sets_and_sketch(rows, size, sketch_bits), "sketch")
     documents = found.where(F.col("part").isNull()).select("doc_id", "n", "d1", "d2", "small")
-    real = documents.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    real = documents.where("n > 0")
     classes = stored(real.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.any_value("small").alias("small")), "classes")
 
     sizes = {r["n"]: r["count"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").count().collect()}
     boundary = boundary_by_cost(sizes, percent)
     links = _light_links(classes, boundary, percent)
 
-    named = rows.where(F.col("doc_id").isNotNull())
     order = _frequency_classes(found, sketch_bits)
-    prefixes = _ordered_prefixes(named, order, size, sketch_bits, least_posted(boundary, percent), percent)
+    prefixes = _ordered_prefixes(rows, order, size, sketch_bits, least_posted(boundary, percent), percent)
     postings = stored(_postings(prefixes), "postings")
-    links = links.union(_same_id_links(real, classes)).union(_verified(named, _first_pairs(postings, percent), size, percent))
+    links = links.union(_same_id_links(real, classes)).union(_verified(rows, _first_pairs(postings, percent), size, percent))
     links = stored(links, "links")
     labels = components(links)
-    late = _verified(named, _open_pairs(postings, labels, percent), size, percent)
+    late = _verified(rows, _open_pairs(postings, labels, percent), size, percent)
     labels = _relabelled(labels, late)
 
     return (
         _with_class(documents, classes)
-        .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("node"))
+        .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("node"))
         .join(labels, "node", "left")
         .select("doc_id", "n_shingles", F.coalesce("label", "node").alias("component_id"))
     )
@@ -411,23 +440,25 @@ def _relabelled(labels: DataFrame, late: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", one_row: bool = False) -> DataFrame:
-    """The rows of ``df`` whose document is its component's smallest id, with all
-    their columns; documents with a null id stay.
+    """The rows of ``df`` whose document is its component's smallest, with all their
+    columns. Documents with an id come before those without one (rows with a null
+    id and equal texts are one document).
 
-    Several rows of that id all stay; with ``one_row`` one of them does, the one
-    with the smallest hash of its columns.
+    Several rows of that document all stay; with ``one_row`` one of them does, the
+    one with the smallest hash of its columns. Other cases as for
+    :func:`join_components`.
     """
-    found = join_components(df, id_col=id_col, text_col=text_col)
+    node, _ = _nodes(df, id_col, text_col)
+    found = _labelled(df.select(node.alias("doc_id"), F.col(text_col).cast("string").alias("text")), SIZE, SIMILARITY, SKETCH_BITS)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = df.join(gone, df[id_col].cast("bigint") == gone["__gone"], "left_anti")
+    left = df.join(gone, node == F.col("__gone"), "left_anti")
     if not one_row:
         return left
-    key = F.col(id_col).cast("bigint")
-    twice = df.groupBy(key.alias("__twice")).agg(F.count("*").alias("__rows")).where("__rows > 1 and __twice is not null").select("__twice")
+    twice = df.groupBy(node.alias("__twice")).agg(F.count("*").alias("__rows")).where("__rows > 1").select("__twice")
     twice = stored(twice, "repeated")
     if not twice.limit(1).count():
         return left
-    again = left.join(twice, key == F.col("__twice"), "left_semi")
-    # The partial aggregate leaves one row per id and task, however often a row occurs.
-    picked = again.groupBy(key.alias("__key")).agg(F.min_by(F.struct(*df.columns), F.xxhash64(*df.columns)).alias("__row"))
-    return left.join(twice, key == F.col("__twice"), "left_anti").unionByName(picked.select("__row.*"))
+    again = left.join(twice, node == F.col("__twice"), "left_semi")
+    # The partial aggregate leaves one row per document and task, however often a row occurs.
+    picked = again.groupBy(node.alias("__key")).agg(F.min_by(F.struct(*df.columns), F.xxhash64(*df.columns)).alias("__row"))
+    return left.join(twice, node == F.col("__twice"), "left_anti").unionByName(picked.select("__row.*"))

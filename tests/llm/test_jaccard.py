@@ -25,18 +25,23 @@ def shingles(text):
 
 
 def brute(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
-    parent = {i: i for i, _ in sets if i is not None}
+    """Links between documents; rows with a null id and equal texts are one document."""
+    sets = [(("text", t) if i is None else ("id", i), shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for (i, a), (j, b) in combinations([s for s in sets if s[1] and s[0] is not None], 2):
+    for (i, a), (j, b) in combinations([s for s in sets if s[1]], 2):
         if 100 * len(a & b) >= 75 * len(a | b) and find(i) != find(j):
-            parent[max(find(i), find(j))] = min(find(i), find(j))
-    return sorted(((i, len(s), None if i is None else find(i)) for i, s in sets), key=str)
+            parent[find(i)] = find(j)
+    least: dict = {}
+    for node in parent:
+        if node[0] == "id":
+            least[find(node)] = min(node[1], least.get(find(node), node[1]))
+    return sorted(((i, len(s), least.get(find(node))) for (i, _), (node, s) in zip(rows, sets, strict=True)), key=str)
 
 
 def _run(df, **how):
@@ -118,7 +123,7 @@ def test_keep_first_keeps_one_of_each_component(clashing):
     kept = jaccard.keep_first(clashing)
     assert kept.columns == clashing.columns
     first = {i: c for i, _, c in brute([(r.doc_id, r.text) for r in clashing.collect()])}
-    wanted = [r for r in clashing.collect() if r.doc_id is None or first[r.doc_id] == r.doc_id]
+    wanted = [r for r in clashing.collect() if first[r.doc_id] == r.doc_id]
     assert sorted(map(str, kept.collect())) == sorted(map(str, wanted))
 
 
@@ -128,10 +133,31 @@ def test_pipeline_keeps_one_row_of_a_repeated_document(spark):
     text = "one text of a document that occurs in very many rows of the table"
     rows = [(5, text, "en", k % 2) for k in range(1000)] + [(9, text, "en", 0), (7, "quite another text that only occurs in a single row here", "fr", 1)]
     rows += [(8, "an id with two texts, of which this is the first one", "de", 2), (8, "wholly different words under this very same number", "de", 3), (None, text, "en", 0)]
+    lone = "a text that only rows without an id have and which is long enough"
+    rows += [(None, lone, "en", k) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n int").repartition(4)
     kept = corpus_pipeline.one_per_group(spark, docs, "")
     assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows)
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["5", "7", "8", "None"]
+    assert [r.text for r in kept.where("doc_id is null").collect()] == [lone]
+
+
+def test_rows_without_an_id_link_others(spark):
+    words = [f"w{i}" for i in range(200)]
+    steps = [" ".join(words[k * 10 : k * 10 + 100]) for k in range(4)]
+    for ids in ((9, None, None, 4), (None, None, None, None)):
+        rows = [*zip(ids, steps, strict=True), (None, "another text that is linked with nothing at all"), (None, None), (None, None), (50, None)]
+        assert _run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert [c for _, _, c in brute([(1, steps[0]), (None, steps[1]), (2, steps[2])])] == [1, 1, 1]
+
+
+def test_ids_without_room_for_others(spark):
+    import pytest
+
+    df = spark.createDataFrame([(2**63 - 1, "a b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="no numbers are left"):
+        jaccard.join_components(df)
+    assert _run(df.where("doc_id is not null")) == [(2**63 - 1, 2, 2**63 - 1)]
 
 
 def test_boundary_weighs_subsets_against_postings():
