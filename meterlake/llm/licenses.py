@@ -40,6 +40,7 @@ TEMPLATES = (
 )
 HEADER_LEAST = 0.6  # cosine of a line
 FILE_LEAST = 0.5  # cosine of a whole text
+FILE_SHARE = 0.9  # of a whole text's words must be words of the template: a text about something else is no licence file
 WHOLE = -1  # the unit number of a whole text
 
 # Terms: runs of ASCII letters and digits and of anything beyond ASCII.
@@ -89,15 +90,17 @@ def anchors(vectors: list[dict[str, float]], least: float) -> list[str]:
 
 def scan(
     files: DataFrame, *, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
-    templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST,
+    templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST, file_share: float = FILE_SHARE,
 ) -> DataFrame:
     """The licence of every file, and where it comes from.
 
     In a line every term weighs by its document frequency over all files, so a
     notice among common words is found on a table of any size. In a whole text
-    a term of no template weighs as if no other file had it, which keeps short
-    prose with a notice line from counting as a licence file. :func:`scan_sql`
-    does the latter in lines too: the two agree on lines of template terms only.
+    a term of no template weighs as if no other file had it; to be a licence
+    file, a text must consist of a template's words by ``file_share`` besides, so
+    that prose with a notice line doesn't spread to the files around it. The
+    templates are notices: a full licence text is reported by its notice lines
+    (``header``), and isn't inherited.
 
     Returns doc_id, path, license, via (``file``: the whole text is a licence;
     ``header``: its best line; ``inherited``; null without licence), score (the
@@ -121,10 +124,9 @@ def scan(
 
     units = _weighted(rows, idf, vectors, min(header_least, file_least), n)
     # Of equal cosines the smallest name wins: negated scores, then names, by min.
-    best = F.array_min(F.array(*[
-        F.struct((-F.round(F.col(f"dot{k}") / F.sqrt("norm"), 6)).alias("minus"), F.lit(name).alias("license")) for k, (name, _) in enumerate(templates)
-    ]))
-    scored = units.select("doc_id", "path", "unit", best.alias("best"))
+    score = [F.struct((-F.round(F.col(f"dot{k}") / F.sqrt("norm"), 6)).alias("minus"), F.lit(name).alias("license")) for k, (name, _) in enumerate(templates)]
+    covered = [F.when((F.col("unit") != WHOLE) | (F.col(f"words{k}") >= file_share * F.col("words")), x) for k, x in enumerate(score)]
+    scored = units.select("doc_id", "path", "unit", F.array_min(F.array(*covered)).alias("best"))
     own = scored.groupBy("doc_id", "path").agg(
         F.min(F.when((F.col("unit") == WHOLE) & (F.col("best.minus") <= -file_least), F.col("best"))).alias("file"),
         F.min(F.when((F.col("unit") != WHOLE) & (F.col("best.minus") <= -header_least), F.col("best"))).alias("header"),
@@ -144,7 +146,8 @@ def scan(
 
 
 def _weighted(rows: DataFrame, idf: dict[str, float], vectors: list[dict[str, float]], least: float, n: int) -> DataFrame:
-    """Norm and dot products of every unit that holds an anchor."""
+    """Norm, dot products and numbers of words (all, and each template's) of every
+    unit that holds an anchor."""
     anchor = _array(anchors(vectors, least))
     near = rows.where(F.arrays_overlap(terms(F.col("text")), anchor))
     whole = F.struct(F.lit(WHOLE).alias("unit"), F.col("text").alias("body"))
@@ -162,7 +165,8 @@ def _weighted(rows: DataFrame, idf: dict[str, float], vectors: list[dict[str, fl
     ])))
     weight = F.col("tf") * F.coalesce("idf", F.log(F.lit(n + 1.0) / (df + 1)) + 1)
     return counted.join(spread, "term", "left").join(F.broadcast(table), "term", "left").groupBy("doc_id", "path", "unit").agg(
-        F.sum(weight * weight).alias("norm"),
+        F.sum(weight * weight).alias("norm"), F.sum("tf").alias("words"),
+        *[F.sum(F.when(F.col(f"w{k}") > 0, F.col("tf")).otherwise(0)).alias(f"words{k}") for k in range(len(vectors))],
         *[F.sum(F.coalesce(weight * F.col(f"w{k}"), F.lit(0.0))).alias(f"dot{k}") for k in range(len(vectors))],
     )
 
@@ -196,7 +200,7 @@ def documents_as_files(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
 
 
-def scan_sql(templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST) -> str:
+def scan_sql(templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST, file_share: float = FILE_SHARE) -> str:
     """The same over ``documents`` in DuckDB, without the anchors."""
     values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(templates))
     between = _BETWEEN
@@ -210,7 +214,7 @@ WITH files AS (
 ), df AS (
   SELECT term, count(*) AS df FROM (
     SELECT DISTINCT doc_id, path, unnest(regexp_split_to_array(lower(text), '{between}')) AS term FROM files)
-  WHERE term IN (SELECT term FROM tt) GROUP BY term
+  GROUP BY term
 ), idf AS (
   SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n
 ), tw AS (SELECT k, name, term, count(*) * any_value(idf) AS w FROM tt JOIN idf USING (term) GROUP BY k, name, term
@@ -224,11 +228,14 @@ WITH files AS (
     SELECT doc_id, path, unit, unnest(regexp_split_to_array(lower(body), '{between}')) AS term FROM units)
   WHERE term <> '' GROUP BY ALL
 ), norm AS (
-  SELECT doc_id, path, unit, sum((tf * coalesce(idf, ln(n + 1) + 1)) ** 2) AS norm FROM tf LEFT JOIN idf USING (term), n GROUP BY ALL
+  SELECT doc_id, path, unit, sum(tf) AS words,
+         sum((tf * coalesce(idf, ln((n + 1) / (CASE WHEN unit = {WHOLE} THEN 0 ELSE coalesce(df, 0) END + 1)) + 1)) ** 2) AS norm
+  FROM tf LEFT JOIN idf USING (term) LEFT JOIN df USING (term), n GROUP BY doc_id, path, unit
 ), dot AS (
-  SELECT doc_id, path, unit, k, name, sum(tf * idf * w) AS dot FROM tf JOIN tn USING (term) JOIN idf USING (term) GROUP BY ALL
+  SELECT doc_id, path, unit, k, name, sum(tf) AS shared, sum(tf * idf * w) AS dot FROM tf JOIN tn USING (term) JOIN idf USING (term) GROUP BY ALL
 ), cosine AS (
   SELECT doc_id, path, unit, name, round(dot / sqrt(norm), 6) AS score FROM dot JOIN norm USING (doc_id, path, unit)
+  WHERE unit <> {WHOLE} OR shared >= {file_share} * words
 ), own AS (
   SELECT doc_id, path, name, score, CASE WHEN unit = {WHOLE} THEN 'file' ELSE 'header' END AS via FROM cosine
   WHERE score >= CASE WHEN unit = {WHOLE} THEN {file_least} ELSE {header_least} END

@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 from meterlake.llm import licenses
@@ -20,6 +22,9 @@ FILES = [
     (8, "src1/f.txt", ""),
     (9, "top.txt", "the license of this is not told, " * 20),
     (10, None, "no path"),
+    (13, "src3/about.txt", "See here:\nReleased under the MIT License"),
+    (14, "src3/other.txt", "prose that lies beside it"),
+    (15, "src3/j.txt", "first\n// The words of this are also released under the MIT License, see there\nlast"),
     (None, "src0/en/g.txt", "no id"),
     (11, "src0/frx/h.txt", "a directory whose name starts like another"),
     (12, "src2/x/i.txt", "Licensed under CC BY-NC 4.0.\n" + "long text " * 5000),
@@ -33,27 +38,28 @@ def brute(files):
 
     n = len(files)
     vocab = {t for _, text in licenses.TEMPLATES for t in words(text)}
-    df = Counter(t for _, _, text in files for t in set(words(text)) & vocab)
-    idf = lambda t: math.log((n + 1) / (df[t] + 1)) + 1 if t in vocab else math.log(n + 1) + 1
+    df = Counter(t for _, _, text in files for t in set(words(text)))
+    idf = lambda t, whole=False: math.log((n + 1) / ((0 if whole and t not in vocab else df[t]) + 1)) + 1
     pooled: dict = {}
     for i, p, text in files:
         pooled.setdefault((i, p), []).append(text or "")
 
-    def best(unit):
+    def best(unit, whole=False):
         tf = Counter(words(unit))
-        length = math.sqrt(sum((k * idf(t)) ** 2 for t, k in tf.items()))
+        length = math.sqrt(sum((k * idf(t, whole)) ** 2 for t, k in tf.items()))
         found = []
         for name, text in licenses.TEMPLATES:
             w = {t: k * idf(t) for t, k in Counter(words(text)).items()}
             dot = sum(k * idf(t) * w.get(t, 0) for t, k in tf.items())
-            if length:
+            share = sum(k for t, k in tf.items() if t in w) / max(1, sum(tf.values()))
+            if length and (not whole or share >= licenses.FILE_SHARE):
                 found.append((-round(dot / length / math.sqrt(sum(x * x for x in w.values())), 6), name))
         return min(found, default=(0.0, ""))
 
     own, held = {}, {}
     for key, texts in pooled.items():
         text = texts[0]
-        whole = best(text)
+        whole = best(text, whole=True)
         if -whole[0] >= licenses.FILE_LEAST:
             own[key] = ("file", whole)
             folder = (key[1] or "").rpartition("/")[0]
@@ -89,6 +95,7 @@ def test_against_brute_force(files):
     assert [g[:4] + g[5:] for g in sorted(got, key=str)] == [w[:4] + w[5:] for w in wanted]
     assert [g[4] for g in sorted(got, key=str)] == [pytest.approx(w[4], abs=2e-6) if w[4] else w[4] for w in wanted]
     by_id = {g[0]: g for g in got}
+    assert by_id[13][3] == "header" and by_id[14][2:4] == (None, None)
     assert by_id[5][2:4] == ("GPL-3.0", "inherited") and by_id[11][2:4] == ("Apache-2.0", "inherited")
 
 
@@ -109,6 +116,18 @@ def test_common_words_beside_a_notice_do_not_hide_it(spark, others):
     assert rows[0].score == pytest.approx(dot / math.sqrt(norms[0] * norms[1]), abs=2e-6)
 
 
+def test_sql_states_the_same_rule(spark):
+    """Also on lines with words of no template, which weigh by their real share."""
+    rows = [(i, "en", "src", t) for i, (_, _, t) in enumerate(FILES) if t is not None]
+    rows += [(100 + k, "en", f"d{k % 7}", "also see there the words of this text" if k % 3 else "Copyright 2020 first") for k in range(60)]
+    con = duckdb.connect()
+    con.register("documents", pa.table({n: [r[k] for r in rows] for k, n in enumerate(("doc_id", "lang", "source", "text"))}))
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    got = licenses.scan(licenses.documents_as_files(df)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(con.execute(licenses.scan_sql()).fetchall(), key=str)
+    assert {r.via for r in got} >= {"header", None}
+
+
 def test_empty_table(files):
     assert licenses.scan(files.limit(0)).collect() == []
 
