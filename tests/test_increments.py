@@ -47,7 +47,7 @@ def deliveries(source):
     return [("even", source.where(~odd)), ("odd", source.where(odd))]
 
 
-@pytest.mark.parametrize("variant", ["native", "edge", "zone_flip"])
+@pytest.mark.parametrize("variant", ["edge", "zone_flip"])
 def test_deliveries_merged_equal_a_whole_build(spark, tmp_dir, variant):
     source = meter_readings(spark, SF_SMALL, variant)
     store = Warehouse(spark, f"{tmp_dir}/w", late="merge")
