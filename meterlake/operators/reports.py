@@ -9,16 +9,13 @@ from meterlake.functions.zones import zones_in_state
 from meterlake.operators.joins import skew_safe_join
 
 
-def stable(x: Column | str, digits: int = 6) -> Column:
+def stable(x: Column | str, digits: int = 11) -> Column:
     """Round a double for ranking ties: sums depend on addition order in the
-    last bits, so equal totals must compare equal before a tie-break.
-
-    Small totals are rounded to ``digits`` decimals. Beyond 10^5 that is finer
-    than what addition order leaves of a sum of very many readings, so the
-    rounding becomes relative: 11 significant digits remain."""
+    last bits, so equal totals must compare equal before a tie-break. The
+    first ``digits`` significant digits remain, whatever the size."""
     x = F.col(x) if isinstance(x, str) else x
-    step = F.pow(F.lit(10.0), F.ceil(F.log10(F.greatest(F.abs(x), F.lit(1.0)))) - 11)
-    return F.when(F.abs(x) < 1e5, F.round(x + F.lit(1e-9), digits)).otherwise(F.rint(x / step) * step)
+    step = F.pow(F.lit(10.0), F.ceil(F.log10(F.abs(x))) - digits)
+    return F.when(x == 0, x).otherwise(F.rint(x / step) * step)
 
 
 def zone_hour_rank(fact: DataFrame, zones: DataFrame, state: str = "NRW", built_in_states: bool = False) -> DataFrame:
