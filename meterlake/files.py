@@ -59,15 +59,20 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         out.close()
     hadoop = spark._jvm.org.apache.hadoop.fs
-    context = hadoop.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)  # without OVERWRITE
+    source, target = fs.makeQualified(draft), fs.makeQualified(where)
     try:
-        context.rename(fs.makeQualified(draft), fs.makeQualified(where), options)
+        context = hadoop.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(source, target, options)
+        return True
     except PySparkException:
         raise
     except Exception as error:  # the gateway's error carries the Java one
-        fs.delete(draft, False)
-        if "FileAlreadyExists" in str(error):
-            return False
-        raise
-    return True
+        if "UnsupportedFileSystem" in str(error):  # a store with the older interface only
+            if fs.rename(source, target):
+                return True
+        elif "FileAlreadyExists" not in str(error):
+            fs.delete(draft, False)
+            raise
+    fs.delete(draft, False)
+    return False
