@@ -646,6 +646,12 @@ def _one_parse(spark: SparkSession, sf_dir: str) -> one_parse.OneParse:
     return out
 
 
+def gold_all_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the chained layers' gold emitted, and those open in its state."""
+    paths = _run_medallion(spark, sf_dir, "dense")
+    return _ntz(_round(spark.read.parquet(paths.table("gold")).unionByName(layers.open_windows(spark, paths)), _GOLD_DOUBLES))
+
+
 def one_parse_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(_round(_once(spark, sf_dir, _one_parse).read("gold"), _GOLD_DOUBLES))
 
@@ -725,7 +731,7 @@ QUERIES.update(
         f.__name__: f
         for f in (
             delivered_fact, delivered_dim_meters, delivered_dim_grid_zones, delivered_dim_dates, delivered_checks, publish_outcome,
-            fact_upsert_manifest, one_parse_gold, one_parse_all_windows, one_parse_late_rows, one_parse_silver,
+            fact_upsert_manifest, gold_all_windows_stream, one_parse_gold, one_parse_all_windows, one_parse_late_rows, one_parse_silver,
             bronze_two_schemas_stream, bronze_from_event_hubs, log_offsets, log_replay,
         )
     }

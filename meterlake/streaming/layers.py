@@ -217,6 +217,27 @@ def start_medallion(
     return started
 
 
+# What gold's aggregate keeps per key, in the order of its columns.
+_STATE = (
+    "struct<sum_kwh:double,count_kwh:bigint,max_kwh:double,total_kwh:double,meter_count:bigint,anomaly_count:bigint,"
+    "sum_voltage:double,count_voltage:bigint,sum_frequency:double,count_frequency:bigint>"
+)
+
+
+def open_windows(spark: SparkSession, paths: LayerPaths) -> DataFrame:
+    """Gold rows of the windows that the watermark has not closed, as they stand
+    in gold's state store after its last batch (not while the query runs).
+
+    Emitted and open windows together are the batch aggregate of the rows that
+    were not late."""
+    state = spark.read.format("statestore").load(paths.checkpoint("gold")).where(F.col("value").isNotNull())
+    totals = state.select(
+        F.col("key.window.start").alias("window_start"), F.col("key.window.end").alias("window_end"),
+        F.col("key.grid_zone").alias("grid_zone"), F.col("key.meter_type").alias("meter_type"), F.col("value").cast(_STATE).alias("v"),
+    )
+    return windows.gold_from_totals(totals.select(*totals.columns[:4], "v.*"))
+
+
 def run_bounded(queries: dict[str, StreamingQuery], timeout_sec: float) -> None:
     """Wait for any of the started queries to end or for the timeout, then stop
     them; other queries of the session go on. If one of them failed, its error

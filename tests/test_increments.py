@@ -166,13 +166,13 @@ def test_upsert_by_manifest(spark, tmp_dir):
 
 
 def test_compaction_keeps_the_rows_and_bounds_the_parts(spark, tmp_dir):
-    store = Warehouse(spark, f"{tmp_dir}/w", late="merge", fan_in=3)
-    for k in range(5):
+    store = Warehouse(spark, f"{tmp_dir}/w", late="merge", fan_in=2)
+    for k in range(3):
         store.apply(rows(spark, [("M1", T(k), 1.0 + k), (f"M{k}", T(1), 0.5)]), f"d{k}")
     before, n = store.tables()[FACT].collect(), len(store.manifest.current()[1]["hours"])
     number = store.compact()
     state = store.manifest.current()[1]
-    assert len(state["hours"]) < n == 5 and store.manifest.current()[0] == number
+    assert len(state["hours"]) < n == 3 and store.manifest.current()[0] == number
     assert sorted(map(str, store.tables()[FACT].collect())) == sorted(map(str, before))
     store.apply(rows(spark, [("M1", T(1), 10.0)]), "later")
     late = {(r.meter_id, r.consumption_hour.hour): r.total_kwh for r in store.tables()[FACT].collect()}
@@ -182,10 +182,11 @@ def test_compaction_keeps_the_rows_and_bounds_the_parts(spark, tmp_dir):
 
 def test_zone_counts_come_from_bitmaps(spark, tmp_dir, capsys):
     store = Warehouse(spark, f"{tmp_dir}/w")
-    for k in range(3):
-        store.apply(rows(spark, [(f"M{i}", T(k, 1), 1.0) for i in range(k, 40_000, 20)], zone=("Bavaria", "Hamburg", "Bavaria")[k]), f"d{k}")
+    for k in range(2):
+        part = rows(spark, [(f"M{i}", T(k, 1), 1.0) for i in range(k, 40_000, 20)])
+        store.apply(part.unionByName(rows(spark, [("M0", T(k, 2), 1.0), ("M7", T(k, 2), 1.0)], zone="Hamburg")), f"d{k}")
     zones = {r.grid_zone: r.meter_count for r in store.tables()[ZONES].collect()}
-    assert zones == {"Bavaria": 4000, "Hamburg": 2000}
+    assert zones == {"Bavaria": 4000, "Hamburg": 2}
     store.tables()[ZONES].explain()
     assert "distinct" not in capsys.readouterr().out.lower()
 

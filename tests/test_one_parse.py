@@ -58,6 +58,15 @@ def test_late_rows_are_set_aside_and_open_windows_are_kept(spark, tmp_dir):
     assert out.read("gold").columns == GOLD_COLUMNS
 
 
+def test_open_windows_of_the_chained_layers_come_from_the_state(spark, tmp_dir):
+    paths = layers.LayerPaths(f"{tmp_dir}/chained")
+    write(spark, f"{tmp_dir}/log", [at(1), at(4), at(8), at(9)], is_anomaly=True)
+    layers.start_medallion(spark, read_envelope_files(spark, f"{tmp_dir}/log"), paths, gold_state_partitions=2)
+    assert _windows(spark.read.parquet(paths.table("gold"))) == [("10:00", 2)]
+    row = layers.open_windows(spark, paths).first()
+    assert (row.window_start, row.meter_count, row.anomaly_count, row.total_kwh, row.avg_voltage, row.avg_frequency) == (at(5), 2, 2, 2.0, 230.0, 50.0)
+
+
 def test_a_batch_that_is_run_again_counts_once(spark, tmp_dir, monkeypatch):
     log, out = f"{tmp_dir}/log", OneParse(spark, f"{tmp_dir}/out")
     write(spark, log, [at(1), at(20)])
