@@ -184,7 +184,7 @@ def test_zone_counts_come_from_bitmaps(spark, tmp_dir, capsys):
     store = Warehouse(spark, f"{tmp_dir}/w")
     for k in range(2):
         part = rows(spark, [(f"M{i}", T(k, 1), 1.0) for i in range(k, 40_000, 20)])
-        store.apply(part.unionByName(rows(spark, [("M0", T(k, 2), 1.0), ("M7", T(k, 2), 1.0)], zone="Hamburg")), f"d{k}")
+        store.apply(part.unionByName(rows(spark, [("M0", T(k, 2), 1.0), ("M7", T(k, 2), 1.0)], zone="Hamburg")), f"d{k}", gate=False)
     zones = {r.grid_zone: r.meter_count for r in store.tables()[ZONES].collect()}
     assert zones == {"Bavaria": 4000, "Hamburg": 2}
     store.tables()[ZONES].explain()
