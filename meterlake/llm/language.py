@@ -175,6 +175,11 @@ def fit(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_
 
     Gram counts are taken in tasks and summed by Spark; the driver gets those
     of the sample only.
+
+    Defined cases: rows with a null id or label, null texts and texts of more
+    than ``sample_chars`` characters are not learned from; repeated rows are
+    learned from together; other columns are ignored; without any labelled
+    document there is no language, and every text is ``und``.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label"))
     rows = rows.where(~held_out(F.col("id")) & F.col("id").isNotNull() & F.col("label").isNotNull() & (F.length("text") <= sample_chars))

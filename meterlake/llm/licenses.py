@@ -196,7 +196,8 @@ def _inherited(listed: DataFrame, holders: DataFrame) -> DataFrame:
 
 
 def documents_as_files(documents: DataFrame) -> DataFrame:
-    """Documents as files ``source/lang/doc_id``."""
+    """Documents as files ``source/lang/doc_id``; a null part is left out of the path.
+    Null and empty texts and repeated rows are passed on as they are."""
     return documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
 
 

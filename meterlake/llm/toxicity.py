@@ -226,6 +226,11 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     A document with several labels counts as toxic if one of them says so.
     The sample (at most about 2 x sample_rows x sample_chars characters) goes
     to the driver, where the training runs.
+
+    Defined cases: labels with a null id or another value than 0 and 1, null
+    texts and texts of more than ``sample_chars`` characters are not learned
+    from; an id that repeats counts once, with one of its texts; other columns
+    are ignored; without any labelled document the model knows no insult.
     """
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     given = given.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
@@ -278,7 +283,9 @@ def score(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str
 
 
 def keep_clean(df: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``df`` whose text scores below ``threshold``, with all their columns."""
+    """The rows of ``df`` whose text scores below ``threshold``, with all their
+    columns. Cases as for :func:`score`: null and empty texts are scored like any,
+    repeated rows alike, an empty table gives no rows."""
     shared = _Shared(df.sparkSession, model)
     at = df.columns.index(text_col)
 
