@@ -16,24 +16,29 @@ from meterlake.llm.graph import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects. Null, empty and wordless texts are
+    rejected; other cases as for ``quality.keep_good``."""
     return quality.keep_good(docs)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold; learned from the
-    labels of the documents that are left, without the held-out fold."""
+    labels of the documents that are left, without the held-out fold. Cases as
+    for ``toxicity.fit`` and ``toxicity.keep_clean``."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component one row of the document with the smallest id."""
+    """Of each near-duplicate component one row of the document with the smallest id.
+    Rows without an id and with equal texts are one document, after those with an
+    id; texts without words are linked with nothing (``jaccard.keep_first``)."""
     return jaccard.keep_first(docs, one_row=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of at most 2048 tokens."""
+    """Token pieces in sequences of at most 2048 tokens; cases as for
+    ``packing.pack_documents``."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
