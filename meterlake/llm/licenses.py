@@ -21,6 +21,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.operators.joins import skew_safe_join
+
 # Short public licence notices, by SPDX-like name.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -136,7 +138,8 @@ def scan(
     own = own.select(F.col("doc_id").alias("own_id"), F.col("path").alias("own_path"), "file", "header")
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("path").eqNullSafe(F.col("own_path"))
     resolved = _inherited(listed, own.where(F.col("file").isNotNull()).select(directory_of(F.col("own_path")).alias("holder"), "file"))
-    joined = listed.join(own, same, "left").join(resolved, "directory", "left")
+    # A directory that holds very many files is dealt over several tasks.
+    joined = skew_safe_join(listed, resolved, "directory", "left").join(own, same, "left")
     pick = F.coalesce(F.col("file"), F.col("header"), F.col("inherited"))
     via = F.when(F.col("file").isNotNull(), "file").when(F.col("header").isNotNull(), "header").when(F.col("inherited").isNotNull(), "inherited")
     return joined.select(
