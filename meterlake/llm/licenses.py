@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine to templates, then inheritance along directories.
 
 Only DataFrame expressions run. A file's units are its lines (headers) and its
-whole text (a licence file). A unit's terms are weighted by their count times
+whole text (a licence file). Lines are compared with notices, whole texts with
+notices and with licence texts. A unit's terms are weighted by their count times
 their inverse document frequency over all files (for whole texts see
 :func:`scan`); its cosine to each template is a sum over its terms, so
 templates are columns of one aggregate. A file without a
@@ -15,12 +16,15 @@ stays below the threshold whatever its other terms are.
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.graph import stored
+from meterlake.llm.license_texts import TEXTS
 from meterlake.operators.joins import skew_safe_join
 
 # Short public licence notices, by SPDX-like name.
@@ -41,7 +45,8 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal"),
 )
 HEADER_LEAST = 0.6  # cosine of a line
-FILE_LEAST = 0.5  # cosine of a whole text
+FILE_LEAST = 0.5  # cosine of a whole text to a notice
+TEXT_LEAST = 0.8  # cosine of a whole text to a licence text
 FILE_SHARE = 0.9  # of a whole text's words must be words of the template: a text about something else is no licence file
 WHOLE = -1  # the unit number of a whole text
 
@@ -61,11 +66,11 @@ def _array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def vocabulary(templates=TEMPLATES) -> list[str]:
+def vocabulary(templates=TEMPLATES + TEXTS) -> list[str]:
     return sorted({t for _, text in templates for t in _terms(text)})
 
 
-def template_weights(counts: dict[str, int], n: int, templates=TEMPLATES) -> tuple[dict[str, float], list[dict[str, float]]]:
+def template_weights(counts: dict[str, int], n: int, templates=TEMPLATES + TEXTS) -> tuple[dict[str, float], list[dict[str, float]]]:
     """Inverse document frequency by term, and each template's unit vector."""
     idf = {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary(templates)}
     vectors = []
@@ -92,7 +97,8 @@ def anchors(vectors: list[dict[str, float]], least: float) -> list[str]:
 
 def scan(
     files: DataFrame, *, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text",
-    templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST, file_share: float = FILE_SHARE,
+    templates=TEMPLATES, texts=TEXTS, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST,
+    text_least: float = TEXT_LEAST, file_share: float = FILE_SHARE,
 ) -> DataFrame:
     """The licence of every file, and where it comes from.
 
@@ -100,9 +106,11 @@ def scan(
     notice among common words is found on a table of any size. In a whole text
     a term of no template weighs as if no other file had it; to be a licence
     file, a text must consist of a template's words by ``file_share`` besides, so
-    that prose with a notice line doesn't spread to the files around it. The
-    templates are notices: a full licence text is reported by its notice lines
-    (``header``), and isn't inherited.
+    that prose with a notice line doesn't spread to the files around it. Such a
+    text is a lone notice of ``templates``, or one of the licence ``texts`` with a
+    holder's lines. The text of a licence that has only notices here (the GNU
+    and Creative Commons ones, MPL) is reported by its notice lines (``header``),
+    and isn't inherited.
 
     Returns doc_id, path, license, via (``file``: the whole text is a licence;
     ``header``: its best line; ``inherited``; null without licence), score (the
@@ -118,20 +126,30 @@ def scan(
     an empty table gives no rows.
     """
     rows = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    vocab = vocabulary(templates)
-    # Whole-corpus statistics of the templates' terms: at most one row per term reaches the driver.
-    found = rows.select(F.explode(F.array_intersect(terms(F.col("text")), _array(vocab))).alias("term")).groupBy("term").count()
+    every = (*templates, *texts)
+    # Files by term, over the whole corpus, in one pass; of these the templates' own terms
+    # (at most one row each) reach the driver.
+    spread = stored(rows.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df")), "terms")
     n = rows.count()
-    idf, vectors = template_weights({r["term"]: r["count"] for r in found.collect()}, n, templates)
+    found = spread.where(F.col("term").isin(vocabulary(every))).collect()
+    idf, vectors = template_weights({r["term"]: r["df"] for r in found}, n, every)
 
-    units = _weighted(rows, idf, vectors, min(header_least, file_least), n)
+    in_lines = anchors(vectors[: len(templates)], min(header_least, file_least))
+    in_texts = anchors(vectors[len(templates) :], text_least)
+    units = _weighted(rows, spread, idf, vectors, in_lines, in_texts, n)
     # Of equal cosines the smallest name wins: negated scores, then names, by min.
-    score = [F.struct((-F.round(F.col(f"dot{k}") / F.sqrt("norm"), 6)).alias("minus"), F.lit(name).alias("license")) for k, (name, _) in enumerate(templates)]
-    covered = [F.when((F.col("unit") != WHOLE) | (F.col(f"words{k}") >= file_share * F.col("words")), x) for k, x in enumerate(score)]
-    scored = units.select("doc_id", "path", "unit", F.array_min(F.array(*covered)).alias("best"))
+    whole = F.col("unit") == WHOLE
+    fitting = []
+    for k, (name, _) in enumerate(every):
+        score = F.round(F.col(f"dot{k}") / F.sqrt("norm"), 6)
+        fits = whole & (score >= (file_least if k < len(templates) else text_least)) & (F.col(f"words{k}") >= file_share * F.col("words"))
+        if k < len(templates):
+            fits |= ~whole & (score >= header_least)
+        fitting.append(F.when(fits, F.struct((-score).alias("minus"), F.lit(name).alias("license"))))
+    scored = units.select("doc_id", "path", whole.alias("whole"), F.array_min(F.array(*fitting)).alias("best"))
     own = scored.groupBy("doc_id", "path").agg(
-        F.min(F.when((F.col("unit") == WHOLE) & (F.col("best.minus") <= -file_least), F.col("best"))).alias("file"),
-        F.min(F.when((F.col("unit") != WHOLE) & (F.col("best.minus") <= -header_least), F.col("best"))).alias("header"),
+        F.min(F.when(F.col("whole"), F.col("best"))).alias("file"),
+        F.min(F.when(~F.col("whole"), F.col("best"))).alias("header"),
     ).where(F.col("file").isNotNull() | F.col("header").isNotNull())
 
     listed = rows.select("doc_id", "path").distinct().withColumn("directory", directory_of(F.col("path")))
@@ -148,24 +166,23 @@ def scan(
     )
 
 
-def _weighted(rows: DataFrame, idf: dict[str, float], vectors: list[dict[str, float]], least: float, n: int) -> DataFrame:
+def _weighted(
+    rows: DataFrame, spread: DataFrame, idf: dict[str, float], vectors: list[dict[str, float]], in_lines: list[str], in_texts: list[str], n: int,
+) -> DataFrame:
     """Norm, dot products and numbers of words (all, and each template's) of every
-    unit that holds an anchor."""
-    anchor = _array(anchors(vectors, least))
-    near = rows.where(F.arrays_overlap(terms(F.col("text")), anchor))
+    unit that holds an anchor: of a notice, or in whole texts of a licence text too."""
+    in_whole = sorted({*in_lines, *in_texts})
+    near = rows.where(F.arrays_overlap(terms(F.col("text")), _array(in_whole)))
     whole = F.struct(F.lit(WHOLE).alias("unit"), F.col("text").alias("body"))
     lines = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("unit"), line.alias("body")))
     units = near.select("doc_id", "path", F.inline(F.concat(F.array(whole), lines))).select("doc_id", "path", "unit", terms(F.col("body")).alias("words"))
-    units = units.where(F.arrays_overlap("words", anchor))
+    units = units.where((F.col("unit") == WHOLE) | F.arrays_overlap("words", _array(in_lines)))
     counted = units.select("doc_id", "path", "unit", F.explode("words").alias("term")).groupBy("doc_id", "path", "unit", "term").agg(F.count("*").alias("tf"))
-    # Files by term, over the whole corpus: counted by partial aggregates, joined by term as a shuffle.
-    spread = rows.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     df = F.when(F.col("unit") == WHOLE, 0).otherwise(F.coalesce("df", F.lit(0)))  # in a whole text as if no other file had it
     # One row per template term: a fixed table of a few hundred rows.
-    table = rows.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(t).alias("term"), F.lit(idf[t]).alias("idf"), *[F.lit(v.get(t, 0.0)).alias(f"w{k}") for k, v in enumerate(vectors)])
-        for t in sorted(idf)
-    ])))
+    fixed = json.dumps([{"term": t, "idf": idf[t]} | {f"w{k}": v[t] for k, v in enumerate(vectors) if t in v} for t in sorted(idf)])
+    shape = ", ".join(["term: string", "idf: double", *[f"w{k}: double" for k in range(len(vectors))]])
+    table = rows.sparkSession.range(1).select(F.inline(F.from_json(F.lit(fixed), f"array<struct<{shape}>>")))
     weight = F.col("tf") * F.coalesce("idf", F.log(F.lit(n + 1.0) / (df + 1)) + 1)
     return counted.join(spread, "term", "left").join(F.broadcast(table), "term", "left").groupBy("doc_id", "path", "unit").agg(
         F.sum(weight * weight).alias("norm"), F.sum("tf").alias("words"),
@@ -204,9 +221,11 @@ def documents_as_files(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
 
 
-def scan_sql(templates=TEMPLATES, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST, file_share: float = FILE_SHARE) -> str:
+def scan_sql(templates=TEMPLATES, texts=TEXTS, header_least: float = HEADER_LEAST, file_least: float = FILE_LEAST,
+             text_least: float = TEXT_LEAST, file_share: float = FILE_SHARE) -> str:
     """The same over ``documents`` in DuckDB, without the anchors."""
-    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(templates))
+    quoted = [(name, text.replace("'", "''")) for name, text in (*templates, *texts)]
+    values = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(quoted))
     between = _BETWEEN
     return rf"""
 WITH files AS (
@@ -238,11 +257,11 @@ WITH files AS (
 ), dot AS (
   SELECT doc_id, path, unit, k, name, sum(tf) AS shared, sum(tf * idf * w) AS dot FROM tf JOIN tn USING (term) JOIN idf USING (term) GROUP BY ALL
 ), cosine AS (
-  SELECT doc_id, path, unit, name, round(dot / sqrt(norm), 6) AS score FROM dot JOIN norm USING (doc_id, path, unit)
-  WHERE unit <> {WHOLE} OR shared >= {file_share} * words
+  SELECT doc_id, path, unit, k, name, round(dot / sqrt(norm), 6) AS score FROM dot JOIN norm USING (doc_id, path, unit)
+  WHERE CASE WHEN unit = {WHOLE} THEN shared >= {file_share} * words ELSE k < {len(templates)} END
 ), own AS (
   SELECT doc_id, path, name, score, CASE WHEN unit = {WHOLE} THEN 'file' ELSE 'header' END AS via FROM cosine
-  WHERE score >= CASE WHEN unit = {WHOLE} THEN {file_least} ELSE {header_least} END
+  WHERE score >= CASE WHEN unit <> {WHOLE} THEN {header_least} WHEN k < {len(templates)} THEN {file_least} ELSE {text_least} END
 ), listed AS (
   SELECT DISTINCT doc_id, path, regexp_extract(path, '^(.*/)?') AS directory FROM files
 ), held AS (

@@ -29,6 +29,10 @@ FILES = [
     (11, "src0/frx/h.txt", "a directory whose name starts like another"),
     (12, "src2/x/i.txt", "Licensed under CC BY-NC 4.0.\n" + "long text " * 5000),
     (12, "src2/x/i.txt", "Licensed under CC BY-NC 4.0.\n" + "long text " * 5000),
+    *[(20 + 3 * k, f"full{k}/LICENSE", "Copyright (c) 2019-2021 Ada Example and others\n\n" + body) for k, (_, body) in enumerate(licenses.TEXTS)],
+    *[(21 + 3 * k, f"full{k}/src/deep/a.py", "code without a notice") for k in range(len(licenses.TEXTS))],
+    *[(22 + 3 * k, f"half{k}/story.txt", "a story of other things that goes on " * 40 + body) for k, (_, body) in enumerate(licenses.TEXTS)],
+    *[(50 + k, f"half{k}/beside.txt", "prose beside it") for k in range(len(licenses.TEXTS))],
 ]
 
 
@@ -37,7 +41,8 @@ def brute(files):
         return "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in (t or "").lower()).split()
 
     n = len(files)
-    vocab = {t for _, text in licenses.TEMPLATES for t in words(text)}
+    every = licenses.TEMPLATES + licenses.TEXTS
+    vocab = {t for _, text in every for t in words(text)}
     df = Counter(t for _, _, text in files for t in set(words(text)))
     idf = lambda t, whole=False: math.log((n + 1) / ((0 if whole and t not in vocab else df[t]) + 1)) + 1
     pooled: dict = {}
@@ -48,25 +53,28 @@ def brute(files):
         tf = Counter(words(unit))
         length = math.sqrt(sum((k * idf(t, whole)) ** 2 for t, k in tf.items()))
         found = []
-        for name, text in licenses.TEMPLATES:
+        for k, (name, text) in enumerate(every):
+            notice = k < len(licenses.TEMPLATES)
+            least = (licenses.FILE_LEAST if notice else licenses.TEXT_LEAST) if whole else licenses.HEADER_LEAST
             w = {t: k * idf(t) for t, k in Counter(words(text)).items()}
             dot = sum(k * idf(t) * w.get(t, 0) for t, k in tf.items())
             share = sum(k for t, k in tf.items() if t in w) / max(1, sum(tf.values()))
-            if length and (not whole or share >= licenses.FILE_SHARE):
-                found.append((-round(dot / length / math.sqrt(sum(x * x for x in w.values())), 6), name))
+            score = round(dot / length / math.sqrt(sum(x * x for x in w.values())), 6) if length else 0.0
+            if score >= least and (share >= licenses.FILE_SHARE if whole else notice):
+                found.append((-score, name))
         return min(found, default=(0.0, ""))
 
     own, held = {}, {}
     for key, texts in pooled.items():
         text = texts[0]
         whole = best(text, whole=True)
-        if -whole[0] >= licenses.FILE_LEAST:
+        if whole[0]:
             own[key] = ("file", whole)
             folder = (key[1] or "").rpartition("/")[0]
             held[folder] = min(held.get(folder, whole), whole)
         else:
             line = min((best(x) for x in text.split("\n")), default=(0.0, ""))
-            if -line[0] >= licenses.HEADER_LEAST:
+            if line[0]:
                 own[key] = ("header", line)
     out = []
     for key in pooled:
@@ -97,6 +105,22 @@ def test_against_brute_force(files):
     by_id = {g[0]: g for g in got}
     assert by_id[13][3] == "header" and by_id[14][2:4] == (None, None)
     assert by_id[5][2:4] == ("GPL-3.0", "inherited") and by_id[11][2:4] == ("Apache-2.0", "inherited")
+    for k, (name, _) in enumerate(licenses.TEXTS):
+        assert by_id[20 + 3 * k][2:4] == (name, "file") and by_id[21 + 3 * k][2:4] == (name, "inherited")
+        assert by_id[22 + 3 * k][3] != "file" and by_id[50 + k][2] is None
+
+
+@pytest.mark.parametrize("others", [100, 3000])
+def test_a_licence_text_is_a_file_beside_many_others(spark, others):
+    """Whatever the number of files, and with wrapped lines, a holder and signs around them."""
+    rows = [(i, f"d{i}/x", "the copyright of this software and any other work is not told under these conditions") for i in range(others)]
+    for k, (_, body) in enumerate(licenses.TEXTS):
+        strange = "Copyright 2020 Example GmbH <ada@example.com>\n" + "\n".join(f" *   {line}" for line in body.split("\n"))
+        rows += [(others + 2 * k, f"p{k}/COPYING", strange), (others + 2 * k + 1, f"p{k}/lib/b.c", None)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).where("license is not null").collect()
+    assert {(r.doc_id - others, r.license, r.via) for r in got} == {
+        (2 * k + part, name, via) for k, (name, _) in enumerate(licenses.TEXTS) for part, via in enumerate(("file", "inherited"))
+    }
 
 
 @pytest.mark.parametrize("others", [20, 2000])
@@ -125,7 +149,7 @@ def test_sql_states_the_same_rule(spark):
     df = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
     got = licenses.scan(licenses.documents_as_files(df)).collect()
     assert sorted(map(tuple, got), key=str) == sorted(con.execute(licenses.scan_sql()).fetchall(), key=str)
-    assert {r.via for r in got} >= {"header", None}
+    assert {r.via for r in got} >= {"header", "file", None}
 
 
 def test_empty_table(files):
@@ -134,7 +158,7 @@ def test_empty_table(files):
 
 def test_units_without_an_anchor_stay_below_the_threshold():
     _, vectors = licenses.template_weights({}, 1000)
-    for least in (0.3, 0.5, 0.9):
+    for least in (0.3, 0.5, 0.8, 0.9):
         held = set(licenses.anchors(vectors, least))
         assert all(math.sqrt(sum(w * w for t, w in v.items() if t not in held)) < least for v in vectors)
 
