@@ -2,7 +2,9 @@
 
 A word is the bag of its character n-grams (and of the whole word) hashed to
 buckets, so a misspelt or inflected word shares most of its vectors with the
-words seen. A window's vector is the average over its words, a linear softmax
+words seen. A long word (joined words, or a script without blanks) is cut into
+overlapping pieces that count as words, so its length averages nothing away. A
+window's vector is the average over its words, a linear softmax
 over it gives the probability of label 1, and a text scores as its worst
 window: a single insult in a long text is not averaged away, and every word
 of the text is in a window.
@@ -11,6 +13,12 @@ Embeddings and softmax are trained jointly in numpy on a bounded sample.
 Labels belong to texts, not to windows: after a first fit with every window of
 a toxic text taken as toxic, the fit goes on with the windows that the model
 itself finds worst in each toxic text, and all windows of the others.
+
+One such fit can take rare n-grams of its sample for insults. So each of a few
+folds of the sample is left out of one fit and then calibrates it: a logistic
+regression of the labels on the worst windows of texts that the fit hasn't
+seen. The fits' average is again one linear softmax, over their embeddings side
+by side.
 """
 
 from __future__ import annotations
@@ -31,11 +39,14 @@ DIMENSIONS = 4
 BUCKETS = 1 << 16
 GRAM_SIZES = (3, 4, 5, 6)
 WINDOW = 4
+LONG_WORD = 24  # bytes; longer words are cut into pieces
+PIECE = 12  # bytes of a piece, to the end of its last character; the next one begins half a piece on
 SAMPLE_ROWS = 1_000  # labelled documents of each class, by id hash
 SAMPLE_CHARS = 16_384  # longer documents are not taken for fitting
 MIN_TEXTS = 3  # of the sample, in which a bucket must be met
 ROUNDS = (60, 40, 40, 40, 40)  # steps of the first fit and of those on chosen windows
 WINDOWS_A_STEP = 10_000  # of each class
+FOLDS = 4  # of the sample, and fits
 RATES = {"vectors": 1.0, "weights": 0.02, "bias": 0.05}
 THRESHOLD = 0.3
 SEED = 7
@@ -44,7 +55,7 @@ _WORD_BYTE = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 
 def words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """White-space words without the ASCII signs at their ends."""
+    """White-space words without the ASCII signs at their ends, long ones in pieces."""
     starts, lengths = texts.words()
     ends = starts + lengths
     inside = _WORD_BYTE[texts.data[: texts.size]]
@@ -55,7 +66,25 @@ def words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     starts = following[starts].astype(np.int64)
     last = before[ends - 1].astype(np.int64) + 1
     whole = starts < last
-    return starts[whole], (last - starts)[whole]
+    return pieces(texts.data, starts[whole], (last - starts)[whole])
+
+
+def pieces(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices in order, those of more than ``LONG_WORD`` bytes as overlapping
+    pieces of whole characters that cover them."""
+    step = PIECE // 2
+    long = lengths > LONG_WORD
+    if not long.any():
+        return starts, lengths
+    count = np.where(long, -(-(lengths - PIECE) // step) + 1, 1)
+    owner = np.repeat(np.arange(len(starts)), count)
+    ends = (starts + lengths)[owner]
+    begin = starts[owner] + ragged(np.zeros(len(starts), np.int64), count) * step
+    end = np.where(long[owner], np.minimum(begin + PIECE, ends), ends)
+    for _ in range(3):  # a UTF-8 character has at most three bytes after its first
+        begin += (begin < ends) & (data[np.minimum(begin, len(data) - 1)] & 0xC0 == 0x80)
+        end += (end < ends) & (data[np.minimum(end, len(data) - 1)] & 0xC0 == 0x80)
+    return begin, end - begin
 
 
 def subwords(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +94,7 @@ def subwords(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple
 
 
 class Model:
-    """Bucket vectors, softmax weights and bias; frozen, about 2 MB."""
+    """Bucket vectors, softmax weights and bias; frozen, about 2 MB a fit."""
 
     def __init__(self, vectors: np.ndarray, weights: np.ndarray, bias: np.ndarray):
         self.vectors, self.weights, self.bias = vectors, weights, bias
@@ -86,6 +115,9 @@ class Model:
 
     def scores(self, texts: Texts, window: int = WINDOW) -> np.ndarray:
         """Probability of label 1 of every document: that of its worst window."""
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts, window), -700, 700)))
+
+    def logits(self, texts: Texts, window: int = WINDOW) -> np.ndarray:
         share, ends = self.word_shares(texts)
         n = np.diff(ends)
         total = np.concatenate([[0.0], np.cumsum(share)])
@@ -98,11 +130,58 @@ class Model:
             begin = ragged(ends[:-1][long], size)
             mean = (total[begin + window] - total[begin]) / window
             worst[long] = np.maximum.reduceat(mean, np.cumsum(size) - size)
-        logit = np.round(worst, 9) + self.offset
-        return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+        return np.round(worst, 9) + self.offset
+
 
+def train(texts: list[str], labels: np.ndarray, *, seed: int = SEED, rounds: tuple[int, ...] = ROUNDS, folds: int = FOLDS) -> Model:
+    """The average of ``folds`` fits, each calibrated on the texts it leaves out.
 
-def train(texts: list[str], labels: np.ndarray, *, seed: int = SEED, rounds: tuple[int, ...] = ROUNDS) -> Model:
+    With fewer texts of a class than folds there are as many folds as texts of
+    it; with fewer than two, one fit that isn't calibrated.
+    """
+    folds = min(folds, int((labels == 0).sum()), int((labels == 1).sum()))
+    if folds < 2:
+        return train_once(texts, labels, seed=seed, rounds=rounds)
+    rng = np.random.default_rng(seed)
+    fold = np.zeros(len(texts), np.int64)
+    for label in (0, 1):
+        own = rng.permutation(np.flatnonzero(labels == label))
+        fold[own] = np.arange(len(own)) % folds
+    vectors, weights, bias = [], [], np.zeros(2)
+    for k in range(folds):
+        rest, out = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        model = train_once([texts[i] for i in rest], labels[rest], seed=seed + k, rounds=rounds)
+        seen = Texts(pc.utf8_lower(pa.array([texts[i] for i in out], pa.string())))
+        slope, shift = calibrate(model.logits(seen), labels[out])
+        vectors.append(model.vectors)
+        weights.append(model.weights * (slope / folds))
+        bias += (model.bias * slope + [0.0, shift]) / folds
+    return Model(np.concatenate(vectors, axis=1), np.concatenate(weights), bias)
+
+
+def calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic regression of ``labels`` on ``logits``, the
+    classes weighted by the roots of their sizes; targets as if each class had one more text of
+    the other label, so that separable classes give finite values. A slope below
+    zero counts as zero."""
+    ones, zeros = int((labels == 1).sum()), int((labels == 0).sum())
+    target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    weight = np.where(labels == 1, 1 / np.sqrt(ones), 1 / np.sqrt(zeros))
+    weight /= weight.sum()
+    x = np.clip(logits, -60, 60)
+    middle, spread = x.mean(), x.std() + 1e-9
+    x = np.stack([(x - middle) / spread, np.ones(len(x))], axis=1)
+    found = np.zeros(2)
+    penalty = np.diag([1e-4, 1e-9])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ found, -50, 50)))
+        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + penalty
+        found -= np.linalg.solve(curve, x.T @ (weight * (p - target)) + penalty @ found)
+    slope = max(0.0, float(found[0]) / spread)
+    return slope, float(found[1]) - slope * middle
+
+
+def train_once(texts: list[str], labels: np.ndarray, *, seed: int = SEED, rounds: tuple[int, ...] = ROUNDS) -> Model:
     """Joint training on whole labelled texts, with equal weight to both classes.
 
     The gradient of each array is scaled by its largest row, so a bucket moves
@@ -229,7 +308,7 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
 
     Defined cases: labels with a null id or another value than 0 and 1, null
     texts and texts of more than ``sample_chars`` characters are not learned
-    from; an id that repeats counts once, with one of its texts; other columns
+    from; an id that repeats counts once, with the smallest of its texts; other columns
     are ignored; without any labelled document the model knows no insult.
     """
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -237,7 +316,7 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     sample = sample_per_label(given.groupBy("id").agg(F.max("label").alias("label")), "label", "id", sample_rows)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.length("text") <= sample_chars)
     # The sample holds about 2 x sample_rows ids whatever the size of the tables.
-    found = rows.join(F.broadcast(sample), "id").dropDuplicates(["id"]).orderBy("id").toPandas()
+    found = rows.join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("label").alias("label")).orderBy("id").toPandas()
     return train(found["text"].tolist(), found["label"].to_numpy(np.int64))
 
 
