@@ -40,7 +40,7 @@ KINDS = ["hours", "fact", "keys", "dims", "checks", "scratch"]
 
 
 class DuplicateKeys(ValueError):
-    """The updates of an upsert hold a key more than once."""
+    """The updates of an upsert hold a row of the fact's grain more than once."""
 
 
 @dataclass
@@ -279,12 +279,15 @@ class Warehouse:
     def upsert(self, updates: DataFrame, key: str = "consumption_id") -> int:
         """Upsert fact rows by key; the number of the state that shows them.
 
+        All rows of a key are replaced by all updates of that key: a meter that
+        changes zone (or type) inside an hour has several rows with one key.
         The touched dates are merged into a new part, which takes them over when
         the state is committed: a run that dies between leaves the old fact.
-        Raises ``DuplicateKeys`` if the updates hold a key twice."""
+        Raises ``DuplicateKeys`` if the updates hold a key twice for the same
+        zone and type."""
         number, state = self.manifest.current()
         updates = with_partition(updates.select(*FACT_COLUMNS))
-        twice = updates.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        twice = updates.groupBy(key, "grid_zone", "meter_type").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key).distinct()
         some = twice.orderBy(key).limit(5).collect()
         if some:
             raise DuplicateKeys(f"{twice.count()} key(s) occur more than once, such as {', '.join(str(r[0]) for r in some)}")

@@ -165,6 +165,23 @@ def test_upsert_by_manifest(spark, tmp_dir):
     assert store.tables()[FACT].count() == 5
 
 
+def test_upsert_takes_all_rows_of_a_repeated_key(spark, tmp_dir):
+    """A meter in two zones inside an hour has two fact rows with one key: both
+    are replaced by the key's updates. The same row twice is still refused."""
+    store = Warehouse(spark, f"{tmp_dir}/w")
+    old = rows(spark, [("M1", T(1), 1.0), ("M1", T(2), 2.0)]).union(rows(spark, [("M1", T(2, 30), 3.0), ("M2", T(2), 4.0)], "Saxony"))
+    store.apply(old, "a", gate=False)
+    late = rows(spark, [("M1", T(2, 10), 20.0)]).union(rows(spark, [("M1", T(2, 50), 30.0)], "Saxony")).union(rows(spark, [("M1", T(2, 55), 40.0)], "Hamburg"))
+    updates = marts.fact_consumption(marts.hourly_consumption(late))
+    assert updates.select("consumption_id").distinct().count() == 1
+    store.upsert(updates)
+    got = {(r.meter_id, r.consumption_hour.hour, r.grid_zone): r.total_kwh for r in store.tables()[FACT].collect()}
+    assert got == {("M1", 1, "Bavaria"): 1.0, ("M1", 2, "Bavaria"): 20.0, ("M1", 2, "Saxony"): 30.0, ("M1", 2, "Hamburg"): 40.0, ("M2", 2, "Saxony"): 4.0}
+    with pytest.raises(DuplicateKeys, match="1 key"):
+        store.upsert(updates.union(updates))
+    assert store.tables()[FACT].count() == 5
+
+
 def test_compaction_keeps_the_rows_and_bounds_the_parts(spark, tmp_dir):
     store = Warehouse(spark, f"{tmp_dir}/w", late="merge", fan_in=2)
     for k in range(3):
