@@ -14,6 +14,7 @@ accepted_values (NULL is not a failure there).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -206,9 +207,12 @@ class DataQualityError(RuntimeError):
     pass
 
 
-def gate(results: DataFrame) -> DataFrame:
-    """Raise when any check failed; the failing checks are in the message."""
+def gate(results: DataFrame, warn: Iterable[Check] = ()) -> DataFrame:
+    """Raise when any check failed; the failing checks are in the message. The
+    checks in ``warn`` are in the results like the others but stop nothing."""
+    warned = {(c.model, c.column, c.kind) for c in warn}
     failed = results.where(F.col("failures") > 0).collect()  # at most one row per check
+    failed = [r for r in failed if (r.model, r.column_name, r.check_type) not in warned]
     if failed:
         lines = ", ".join(f"{r.model}.{r.column_name} {r.check_type}: {r.failures}" for r in failed)
         raise DataQualityError(f"{len(failed)} check(s) failed: {lines}")

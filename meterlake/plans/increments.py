@@ -17,7 +17,7 @@ key of the fact.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -108,21 +108,23 @@ class Warehouse:
 
     # --- one run -----------------------------------------------------------------------
 
-    def apply(self, source: DataFrame, delivery: str | None = None, full_refresh: bool = False, gate: bool = True) -> Run:
+    def apply(self, source: DataFrame, delivery: str | None = None, full_refresh: bool = False, gate: bool = True,
+              warn: Iterable[quality.Check] = ()) -> Run:
         """Build from a delivery of readings, check, and publish if the gate passes.
 
         Without ``delivery`` the source is the whole history: totals and
         dimensions are built anew, the fact is still extended by the hours after
         its newest one (or built anew with ``full_refresh``). ``gate=False``
-        publishes whatever the checks say. Raises ``DataQualityError`` where
-        the gate fails."""
+        publishes whatever the checks say, and a failing check in ``warn`` is
+        reported but stops nothing. Raises ``DataQualityError`` where the gate
+        fails."""
         number, state = self.manifest.current()
         if delivery is not None and delivery in state.get("deliveries", []):
             return Run("repeated", state["mark"], False, number, None, self.tables(state))
         draft, mode = self._draft(source, state, delivery, full_refresh)
         result = quality.evaluated(self.stored_checks(draft))
         if gate:
-            quality.gate(result)
+            quality.gate(result, warn)
         number = self.manifest.commit(number, draft)
         return Run(mode, state.get("mark"), True, number, result, self.tables(draft))
 

@@ -9,11 +9,13 @@ totals and dimensions are rebuilt and the fact gets the hours after its newest.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import marts, readings
+from meterlake.operators.quality import Check
 from meterlake.plans.increments import Warehouse
 from meterlake.plans.materialize import RunResult, as_view
 
@@ -34,17 +36,19 @@ def run_then_test(
     fail_on_error: bool = True,
     delivery: str | None = None,
     late: str = "ignore",
+    warn: Iterable[Check] = (),
 ) -> JobResult:
     """Build, evaluate the source and mart suites (20 checks) once, publish.
 
     ``delivery`` names a delivery of new readings (see ``Warehouse.apply``);
     ``late="merge"`` recomputes the dates that a delivery touches instead of
-    ignoring late hours. Raises ``DataQualityError`` if a check fails, unless
-    ``fail_on_error`` is off: then the marts are published all the same."""
+    ignoring late hours. Raises ``DataQualityError`` if a check fails, unless it
+    is one of ``warn`` (reported only) or ``fail_on_error`` is off: then the
+    marts are published all the same."""
     staged = as_view(readings.staging(source), "stg_meter_readings")
     as_view(readings.anomaly_alerts(staged), "stg_anomaly_alerts")
     as_view(marts.hourly_consumption(staged), "int_consumption_windowed")
-    run = Warehouse(spark, out_dir, late).apply(source, delivery, full_refresh, gate=fail_on_error)
+    run = Warehouse(spark, out_dir, late).apply(source, delivery, full_refresh, gate=fail_on_error, warn=warn)
     for name, df in run.tables.items():
         as_view(df, name)  # SQL over the marts by model name
     return JobResult(RunResult(run.mode, run.high_water_mark), run.tables, run.checks, run.published)

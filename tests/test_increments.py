@@ -11,12 +11,12 @@ from meterlake import files
 from meterlake.functions.numbering import gapless, with_local_number
 from meterlake.operators import check_state, marts, quality
 from meterlake.operators.quality import Check
-from meterlake.plans import increments
+from meterlake.plans import increments, registry
 from meterlake.plans.increments import FACT, METERS, ZONES, DuplicateKeys, Warehouse
 from meterlake.plans.models import Models
 from meterlake.sinks import dated
 from meterlake.sinks.manifest import CommitConflict, Manifest
-from meterlake.sources.fixtures import meter_readings
+from meterlake.sources.fixtures import EVENTS_SCHEMA, meter_readings
 from tests.conftest import SF_SMALL
 
 SCHEMA = (
@@ -116,6 +116,27 @@ def test_a_failing_gate_leaves_the_old_marts(spark, tmp_dir):
     assert gone and store.tables()[FACT].count() == 2
 
 
+def test_a_check_that_warns_is_reported_and_stops_nothing(spark, tmp_dir):
+    twice = rows(spark, [("M1", T(1), 1.0)]).union(rows(spark, [("M1", T(1, 30), 2.0)], "Saxony"))
+    with pytest.raises(quality.DataQualityError, match="unique"):
+        Warehouse(spark, f"{tmp_dir}/strict").apply(twice, "a")
+    store = Warehouse(spark, f"{tmp_dir}/w")
+    run = store.apply(twice, "a", warn=[increments.FACT_KEY])
+    assert run.published and store.tables()[FACT].count() == 2
+    assert [(r.model, r.check_type) for r in run.checks.where("failures > 0").collect()] == [(FACT, "unique")]
+    with pytest.raises(quality.DataQualityError, match="1 check.*meter_id not_null"):
+        store.apply(rows(spark, [(None, T(5), 1.0)]), "b", warn=[increments.FACT_KEY])
+
+
+def test_publish_outcome_with_keys_that_several_zones_share(spark, tmp_dir):
+    """Meter numbers of five digits share their first four: three zones and types."""
+    events = [(k, dt.datetime(2024, 1, 10 + 10 * (k > 5), 3, k), 12340 + k % 3, "view", 5.0 + k, "{}") for k in (1, 2, 3, 4, 6, 7, 8, 9)]
+    events.append((103, dt.datetime(2024, 1, 25), 7, "view", 1.0, "{}"))  # a reading without a meter
+    spark.createDataFrame(events, EVENTS_SCHEMA).write.parquet(f"{tmp_dir}/events.parquet")
+    got = [tuple(r) for r in registry.publish_outcome(spark, tmp_dir).orderBy("step").collect()]
+    assert got == [(1, "full", 3, 4), (2, "stopped", 3, 4), (3, "incremental", 6, 8)]
+
+
 def test_a_run_that_dies_before_its_commit_changes_nothing(spark, tmp_dir, monkeypatch):
     store = Warehouse(spark, f"{tmp_dir}/w")
     store.apply(rows(spark, [("M1", T(1), 1.0)]), "a")
