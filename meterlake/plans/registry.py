@@ -329,7 +329,7 @@ def gold_late_arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     time minus 2 minutes); the output holds the windows the final watermark
     has passed.
     """
-    raw = meter_readings(spark, sf_dir, "dense")
+    raw = meter_readings(spark, sf_dir, "dense", even=True)
     odd_hour = F.hour("event_timestamp") % 2 == 1
     log = shared_dir(spark, "late_log")
     paths = layers.LayerPaths(shared_dir(spark, "late_medallion"))
@@ -523,7 +523,7 @@ def load_then_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of odd hours come with one field more; both generations are one table."""
-    raw = meter_readings(spark, sf_dir)
+    raw = meter_readings(spark, sf_dir, even=True)
     later = T.StructType([*READING_SCHEMA.fields, T.StructField("firmware", T.StringType())])
     path = shared_dir(spark, "bronze_generations")
     odd_hour = F.hour("event_timestamp") % 2 == 1
@@ -636,7 +636,7 @@ def fact_upsert_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _one_parse(spark: SparkSession, sf_dir: str) -> one_parse.OneParse:
     """The late arrivals of ``gold_late_arrivals_stream`` through the query that
     parses once; the layers are compacted between the runs and after them."""
-    raw = meter_readings(spark, sf_dir, "dense")
+    raw = meter_readings(spark, sf_dir, "dense", even=True)
     odd_hour = F.hour("event_timestamp") % 2 == 1
     log = shared_dir(spark, "one_parse_log")
     out = one_parse.OneParse(spark, shared_dir(spark, "one_parse"), _bronze_clock, _silver_clock, fan_in=2)
@@ -674,7 +674,7 @@ def one_parse_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_two_schemas_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bronze_two_schemas`` through the streaming sink: the second run starts on
     the same checkpoint and table with the later generation of the schema."""
-    raw = meter_readings(spark, sf_dir).withColumn("firmware", F.concat(F.lit("fw-"), "meter_type"))
+    raw = meter_readings(spark, sf_dir, even=True).withColumn("firmware", F.concat(F.lit("fw-"), "meter_type"))
     later = T.StructType([*READING_SCHEMA.fields, T.StructField("firmware", T.StringType())])
     log, paths = shared_dir(spark, "generations_log"), layers.LayerPaths(shared_dir(spark, "generations"))
     odd_hour = F.hour("event_timestamp") % 2 == 1
@@ -699,7 +699,7 @@ LOG_PARTITIONS = 3
 
 def _log_with_offsets(spark: SparkSession, sf_dir: str) -> str:
     """The readings' log as envelope files, with offsets by log partition."""
-    messages = readings.keyed_messages(meter_readings(spark, sf_dir), keep=["event_timestamp"])
+    messages = readings.keyed_messages(meter_readings(spark, sf_dir, even=True), keep=["event_timestamp"])
     number = F.coalesce(F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("bigint") % LOG_PARTITIONS, F.lit(0))
     log = envelope_from_messages(messages, F.col("event_timestamp").cast("timestamp") + _seconds(1), partition=number)
     path = shared_dir(spark, "offset_log")

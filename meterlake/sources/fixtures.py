@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.config import ensure_utc
+from meterlake.sources.tables import dealt_evenly
 
 # "dense" squeezes the 30 days of test data into 12 hours so that 5-minute
 # windows hold several readings.
@@ -22,6 +23,7 @@ _DENSE_TS = (
 )
 
 
+_USED = ["event_id", "ts", "user_id", "value"]  # what the mapping reads
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -109,9 +111,13 @@ def readings_from_events(events: DataFrame, variant: str = "native") -> DataFram
     return events.selectExpr(*_adapter_columns(_event_time(variant)))
 
 
-def meter_readings(spark: SparkSession, sf_dir: str, variant: str = "native") -> DataFrame:
-    """Raw meter readings (the warehouse source table) for a test scale."""
-    return readings_from_events(load_events(spark, sf_dir), variant)
+def meter_readings(spark: SparkSession, sf_dir: str, variant: str = "native", even: bool = False) -> DataFrame:
+    """Raw meter readings (the warehouse source table) for a test scale.
+
+    With ``even`` the rows read are dealt over all cores first, whatever the
+    table's row groups: for work that is costly per reading, like its JSON."""
+    events = load_events(spark, sf_dir)
+    return readings_from_events(dealt_evenly(events.select(*_USED)) if even else events, variant)
 
 
 def stream_meter_readings(

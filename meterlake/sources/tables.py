@@ -42,6 +42,19 @@ def read_written(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
+def dealt_evenly(rows: DataFrame) -> DataFrame:
+    """The rows, dealt by their values over all cores of the cluster.
+
+    A scan can't split a row group: without this, costly work on each row of a
+    table in few row groups runs in as few tasks. The number of tasks is given,
+    as small rows may grow under that work, and grows with the scan's."""
+    tasks = max(_TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    return rows.repartition(tasks, *rows.columns)
+
+
+_TASKS_PER_CORE = 2
+
+
 def source_table(spark: SparkSession, name: str) -> DataFrame:
     """A declared source: a catalog table or a temp view of that name, with
     lower-case column names (the load job's tables have upper-case ones)."""

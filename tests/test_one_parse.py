@@ -13,6 +13,7 @@ from meterlake import __main__ as cli
 from meterlake.operators import readings, windows
 from meterlake.plans import registry
 from meterlake.schemas import ENVELOPE_SCHEMA, GOLD_COLUMNS, READING_SCHEMA
+from meterlake.sources.fixtures import meter_readings
 from meterlake.sources.log import assign_offsets, from_offsets, read_envelope_files, read_log
 from meterlake.streaming import layers
 from meterlake.streaming.generations import SchemaChange, SchemaGenerations, evolved
@@ -123,6 +124,22 @@ def test_the_batch_is_parsed_once(spark, tmp_dir):
     bronze.unpersist()
 
 
+def test_the_log_is_written_by_all_cores_from_one_row_group(spark, tmp_dir, monkeypatch):
+    """A scan gives a row group to one task; the readings' JSON is made, and the log parsed, in many."""
+    hour = "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 48 as int))"
+    events = spark.range(2000).selectExpr("id as event_id", f"if(id % 61 = 0, null, {hour}) as ts", "if(id % 67 = 0, null, id % 40) as user_id",
+                                          "'view' as event_type", "id / 4e0 as value", "'{}' as props")
+    events.unionAll(events.where("event_id < 5")).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    plain, even = (meter_readings(spark, tmp_dir, "dense", even=e) for e in (False, True))
+    assert even.schema == plain.schema and sorted(map(str, even.collect())) == sorted(map(str, plain.collect()))
+    monkeypatch.setattr(registry, "shared_dir", lambda spark, *parts: f"{tmp_dir}/{'_'.join(parts)}")
+    out = registry._one_parse(spark, tmp_dir)
+    log = read_envelope_files(spark, f"{tmp_dir}/one_parse_log", stream=False)
+    rows = [r["count"] for r in log.groupBy(F.input_file_name()).count().collect()]
+    assert sum(rows) == plain.where("event_timestamp is not null").count() == out.read("bronze").count()
+    assert max(rows) < sum(rows) / max(2, spark.sparkContext.defaultParallelism / 2)
+
+
 LATER = T.StructType([*READING_SCHEMA.fields, T.StructField("firmware", T.StringType())])
 
 
